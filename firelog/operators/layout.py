@@ -1,0 +1,21 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread ``df`` on ``key`` if its scan yields too few tasks.
+
+    A large unsplittable input (a gzip'd syslog, a parquet file with one row
+    group) is read by a single task, and all per-line regex work would run
+    on one core. Only then the lines are shuffled once on ``key`` (a stable
+    hash, so a re-run task gets the same rows). A normal large scan has far
+    more splits than cores and is left untouched: no shuffle of raw input.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
