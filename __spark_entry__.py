@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from firelog import schemas as S
 from firelog.functions.extract import FIELD_ORDER
+from firelog.operators import geo as G
 from firelog.operators import ingest as I
+from firelog.operators import reads as R
+from firelog.operators import report as RP
+from firelog.operators import stats as ST
 from firelog.operators import triage as TR
 from firelog.session import configure
 from firelog.sources import fixtures as FX
@@ -70,6 +74,127 @@ def q_ingest_incremental(spark, sf_dir):
     return _store_cols(first).unionByName(_store_cols(second))
 
 
+def _store(spark, sf_dir, order="newest"):
+    return _store_cols(I.ingest(_lines(spark, sf_dir), order=order)["new_rows"])
+
+
+def _existing_geo(spark, sf_dir):
+    """Geo table before the run: decodable answers of every fifth customer, stale."""
+    dec = G.decode_answers(FX.geo_answers(spark, sf_dir))
+    ok = dec.where(F.col("geo_error").isNull() & (F.col("k") % 5 == 0))
+    return ok.select(
+        F.col("ip").alias("ip_address"), "country", "region", F.lit(FX.STALE_CITY).alias("city"), "isp",
+        "latitude", "longitude", F.lit(FX.STALE_AS_OF).cast("timestamp_ntz").alias("last_updated"),
+    )
+
+
+def _run(spark, sf_dir):
+    """Ingest of the whole log (newest first) + one enrichment run."""
+    lines = _lines(spark, sf_dir)
+    out = I.ingest(lines, order="newest")
+    geo = G.enrich(out["rows"], _existing_geo(spark, sf_dir), FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
+    return lines, out, geo
+
+
+def q_seen_source_ips(spark, sf_dir):
+    return _run(spark, sf_dir)[2]["seen"]
+
+
+def q_geo_candidates(spark, sf_dir):
+    return _run(spark, sf_dir)[2]["candidates"]
+
+
+def q_geo_decode(spark, sf_dir):
+    dec = G.decode_answers(FX.geo_answers(spark, sf_dir))
+    return dec.select("ip", "status_code", *G.DECODED_COLUMNS)
+
+
+def q_geo_errors(spark, sf_dir):
+    f = _run(spark, sf_dir)[2]["fetched"]
+    return f.where(F.col("geo_error").isNotNull()).select("ip", "geo_error")
+
+
+def q_geo_enrich_run(spark, sf_dir):
+    return _run(spark, sf_dir)[2]["geo"].select(*S.GEO_COLUMNS)
+
+
+def q_geo_upsert(spark, sf_dir):
+    fetched = G.decode_answers(FX.geo_answers(spark, sf_dir))
+    new_rows = G.as_geo_rows(fetched, FX.RUN_AS_OF)
+    return G.upsert_geo(_existing_geo(spark, sf_dir), new_rows)
+
+
+def _store_and_geo(spark, sf_dir):
+    _, out, geo = _run(spark, sf_dir)
+    return _store_cols(out["new_rows"]), geo["geo"]
+
+
+def q_enriched_logs(spark, sf_dir):
+    return RP.enriched_logs(*_store_and_geo(spark, sf_dir))
+
+
+def q_logs_page(spark, sf_dir):
+    return R.logs_page(_store(spark, sf_dir))
+
+
+def q_logs_page_offset(spark, sf_dir):
+    return R.logs_page(_store(spark, sf_dir), limit=20, offset=100)
+
+
+def q_geo_lookup(spark, sf_dir):
+    return R.geo_lookup(_run(spark, sf_dir)[2]["geo"], "10.0.0.1")
+
+
+def q_geo_lookup_bulk(spark, sf_dir):
+    _, _, geo = _run(spark, sf_dir)
+    return R.geo_lookup_many(geo["geo"], geo["seen"], "source_ip")
+
+
+def _source_tables(sf_dir):
+    return {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "customer", "nation")}
+
+
+def q_table_stats(spark, sf_dir):
+    return ST.table_stats(spark, _source_tables(sf_dir))
+
+
+def q_table_row_counts(spark, sf_dir):
+    return ST.table_stats(spark, _source_tables(sf_dir)).select("name", "row_count")
+
+
+def _summary(spark, sf_dir):
+    lines, out, geo = _run(spark, sf_dir)
+    return RP.run_summary(TR.parse_lines(lines), out["rows"], out["new_rows"], geo["fetched"])
+
+
+def q_run_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+def q_run_counters(spark, sf_dir):
+    return RP.run_counters_from(_summary(spark, sf_dir))
+
+
+def q_ip_summary(spark, sf_dir):
+    return RP.ip_summary(*_store_and_geo(spark, sf_dir))
+
+
+def q_first_last_seen(spark, sf_dir):
+    return RP.first_last_seen(_store(spark, sf_dir))
+
+
+def q_top_sources(spark, sf_dir):
+    return RP.top_sources(_store(spark, sf_dir))
+
+
+def q_top_ports(spark, sf_dir):
+    return RP.top_ports(_store(spark, sf_dir))
+
+
+def q_attack_trend(spark, sf_dir):
+    return RP.attack_trend(*_store_and_geo(spark, sf_dir))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_class_counts": q_line_class_counts,
     "valid_lines": q_valid_lines,
@@ -79,6 +204,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_newest_first": q_ingest_newest_first,
     "ingest_oldest_first": q_ingest_oldest_first,
     "ingest_incremental": q_ingest_incremental,
+    "seen_source_ips": q_seen_source_ips,
+    "geo_candidates": q_geo_candidates,
+    "geo_decode": q_geo_decode,
+    "geo_errors": q_geo_errors,
+    "geo_enrich_run": q_geo_enrich_run,
+    "geo_upsert": q_geo_upsert,
+    "enriched_logs": q_enriched_logs,
+    "logs_page": q_logs_page,
+    "logs_page_offset": q_logs_page_offset,
+    "geo_lookup": q_geo_lookup,
+    "geo_lookup_bulk": q_geo_lookup_bulk,
+    "table_stats": q_table_stats,
+    "table_row_counts": q_table_row_counts,
+    "run_counters": q_run_counters,
+    "run_summary": q_run_summary,
+    "ip_summary": q_ip_summary,
+    "first_last_seen": q_first_last_seen,
+    "top_sources": q_top_sources,
+    "top_ports": q_top_ports,
+    "attack_trend": q_attack_trend,
 }
 
 

@@ -96,6 +96,14 @@ def duckdb_sql(sql: str) -> str:
     return render(sql, DUCKDB_SUBST, {"events": "events", "customer": "customer", "nation": "nation"})
 
 
+def spark_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """Run fixture SQL in Spark with DataFrames bound to ``{name}`` slots."""
+    text = render(sql, SPARK_SUBST).replace("{", "{{").replace("}", "}}")
+    for name in tables:
+        text = text.replace("{{" + name + "}}", "{" + name + "}")
+    return spark.sql(text, **tables)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -108,14 +116,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ensure_parallelism(read_table(spark, sf_dir, "events"), "event_id")
     # Fenced: the generated line is a column like a scanned one, so later
     # filters test it instead of re-building it.
-    return fence(spark.sql(render(LOG_LINES_SQL, SPARK_SUBST), events=events))
+    return fence(spark_sql(spark, LOG_LINES_SQL, events=events))
 
 
 def geo_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ip, k, status_code, body)``: one provider answer per customer."""
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
-    return spark.sql(render(GEO_ANSWERS_SQL, SPARK_SUBST), customer=customer, nation=nation)
+    return spark_sql(spark, GEO_ANSWERS_SQL, customer=customer, nation=nation)
 
 
 def first_batch(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:

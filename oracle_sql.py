@@ -128,3 +128,140 @@ LEFT JOIN (SELECT line_class, count(*) AS lines FROM parsed GROUP BY line_class)
     q["ingest_oldest_first"] = _with(ingest_ctes("oldest"), "SELECT * FROM store")
     q["ingest_incremental"] = _with(incremental_ctes("newest"), "SELECT * FROM store")
     return q
+
+
+# ---------------------------------------------------------------------------
+# Geo answers, existing geo table, one enrichment run
+# ---------------------------------------------------------------------------
+
+_TEXT_KEYS = {"country": "country", "region": "regionName", "city": "city", "isp": "isp"}
+_NUM_KEYS = {"latitude": "lat", "longitude": "lon"}
+
+
+def _geo_error(body: str = "body", status: str = "status_code") -> str:
+    text_bad = " OR ".join(
+        f"COALESCE(json_type({body}, '$.{k}'), 'NULL') NOT IN ('NULL', 'VARCHAR')" for k in _TEXT_KEYS.values())
+    num_bad = " OR ".join(
+        f"COALESCE(json_type({body}, '$.{k}'), 'NULL') NOT IN ('NULL', 'BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT')"
+        for k in _NUM_KEYS.values())
+    return (f"CASE WHEN {status} IS NULL THEN 'no answer' "
+            f"WHEN {status} <> 200 THEN 'status ' || CAST({status} AS VARCHAR) "
+            f"WHEN {body} IS NULL THEN 'malformed json' "
+            f"WHEN json_type({body}) = 'NULL' THEN NULL "
+            f"WHEN json_type({body}) <> 'OBJECT' THEN 'wrong json type' "
+            f"WHEN {text_bad} THEN 'wrong json type' "
+            f"WHEN {num_bad} THEN 'wrong json type' END")
+
+
+def _geo_attrs(body: str = "body") -> str:
+    parts = []
+    for name, k in _TEXT_KEYS.items():
+        parts.append(f"CASE WHEN geo_error IS NULL THEN COALESCE(CASE WHEN json_type({body}, '$.{k}') = 'VARCHAR' "
+                     f"THEN json_extract_string({body}, '$.{k}') END, '') END AS {name}")
+    for name, k in _NUM_KEYS.items():
+        parts.append(f"CASE WHEN geo_error IS NULL THEN COALESCE(TRY_CAST(CASE WHEN json_type({body}, '$.{k}') "
+                     f"IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT') THEN json_extract_string({body}, '$.{k}') END "
+                     f"AS DOUBLE), 0.0) END AS {name}")
+    return ", ".join(parts)
+
+
+def geo_ctes() -> str:
+    return f"""answers AS ({duckdb_sql(GEO_ANSWERS_SQL)}),
+decoded0 AS (SELECT ip, k, status_code, jbody, {_geo_error("jbody")} AS geo_error
+             FROM (SELECT *, CASE WHEN json_valid(body) THEN body END AS jbody FROM answers) a),
+decoded AS (SELECT ip, k, status_code, {_geo_attrs("jbody")}, geo_error FROM decoded0),
+existing AS (SELECT ip AS ip_address, country, region, '{STALE_CITY}' AS city, isp, latitude, longitude,
+                    TIMESTAMP '{STALE_AS_OF}' AS last_updated
+             FROM decoded WHERE geo_error IS NULL AND k % 5 = 0)"""
+
+
+def run_ctes() -> str:
+    """Ingest (newest first, empty store) + one enrichment run."""
+    return f"""{ingest_ctes("newest")},
+{geo_ctes()},
+seen AS (SELECT DISTINCT source_ip FROM rows),
+cands AS (SELECT source_ip AS ip FROM seen s WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.ip_address = s.source_ip)),
+fetched AS (SELECT c.ip, d.country, d.region, d.city, d.isp, d.latitude, d.longitude,
+                   CASE WHEN d.ip IS NULL THEN 'no answer' ELSE d.geo_error END AS geo_error
+            FROM cands c LEFT JOIN decoded d ON d.ip = c.ip),
+geo_run AS (SELECT * FROM existing UNION ALL
+            SELECT ip AS ip_address, country, region, city, isp, latitude, longitude, TIMESTAMP '{RUN_AS_OF}' AS last_updated
+            FROM fetched WHERE geo_error IS NULL)"""
+
+
+_RUN_METRICS = ("lines_read", "flagged", "benign", "malformed", "inserted", "errors",
+                "geo_queued", "geo_completed", "geo_errors", "processed", "duplicates")
+
+
+def _counters_select() -> str:
+    return """SELECT
+  (SELECT count(*) FROM parsed) AS lines_read,
+  (SELECT count(*) FROM parsed WHERE line_class = 'flagged') AS flagged,
+  (SELECT count(*) FROM parsed WHERE line_class = 'benign') AS benign,
+  (SELECT count(*) FROM parsed WHERE line_class = 'malformed') AS malformed,
+  (SELECT count(*) FROM store) AS inserted,
+  (SELECT count(*) FROM rows WHERE reject_reason IS NOT NULL) AS errors,
+  (SELECT count(*) FROM fetched) AS geo_queued,
+  (SELECT count(*) FROM fetched WHERE geo_error IS NULL) AS geo_completed,
+  (SELECT count(*) FROM fetched WHERE geo_error IS NOT NULL) AS geo_errors,
+  (SELECT count(*) FROM rows) AS processed,
+  (SELECT count(*) FROM rows WHERE reject_reason IS NULL) - (SELECT count(*) FROM store) AS duplicates"""
+
+
+def build_more(q: dict[str, str]) -> None:
+    geo_cols = "ip_address, country, region, city, isp, latitude, longitude, last_updated"
+    q["seen_source_ips"] = _with(run_ctes(), "SELECT source_ip FROM seen")
+    q["geo_candidates"] = _with(run_ctes(), "SELECT ip FROM cands")
+    q["geo_decode"] = _with(geo_ctes(), "SELECT ip, status_code, country, region, city, isp, latitude, longitude, geo_error FROM decoded")
+    q["geo_errors"] = _with(run_ctes(), "SELECT ip, geo_error FROM fetched WHERE geo_error IS NOT NULL")
+    q["geo_enrich_run"] = _with(run_ctes(), f"SELECT {geo_cols} FROM geo_run")
+    q["geo_upsert"] = _with(geo_ctes() + f""",
+new_geo AS (SELECT ip AS ip_address, country, region, city, isp, latitude, longitude, TIMESTAMP '{RUN_AS_OF}' AS last_updated
+            FROM decoded WHERE geo_error IS NULL)""", f"""SELECT {geo_cols} FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM new_geo n WHERE n.ip_address = e.ip_address)
+UNION ALL SELECT {geo_cols} FROM new_geo""")
+    q["enriched_logs"] = _with(run_ctes(), f"""SELECT {", ".join("s." + c.strip() for c in LOG_COLS.split(","))},
+  g.country, g.region, g.city, g.isp FROM store s LEFT JOIN geo_run g ON g.ip_address = s.source_ip""")
+    ts_text = ("regexp_replace(regexp_replace(strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f'), '0+$', ''), '\\.$', '') || 'Z'")
+    page = (f"SELECT {ts_text} AS timestamp, source_ip, destination_ip, protocol, action FROM store "
+            f"ORDER BY store.timestamp DESC, source_ip, destination_ip, protocol, source_port, destination_port")
+    q["logs_page"] = _with(ingest_ctes("newest"), page + " LIMIT 50 OFFSET 0")
+    q["logs_page_offset"] = _with(ingest_ctes("newest"), page + " LIMIT 20 OFFSET 100")
+    lookup = ("SELECT ip_address AS ip, country, region, city, isp, COALESCE(latitude, 0.0) AS latitude, "
+              "COALESCE(longitude, 0.0) AS longitude FROM geo_run WHERE country IS NOT NULL AND region IS NOT NULL "
+              "AND city IS NOT NULL AND isp IS NOT NULL")
+    q["geo_lookup"] = _with(run_ctes(), lookup + " AND ip_address = '10.0.0.1'")
+    q["geo_lookup_bulk"] = _with(run_ctes(), lookup + " AND ip_address IN (SELECT source_ip FROM seen)")
+    q["table_row_counts"] = ("SELECT 'events' AS name, count(*) AS row_count FROM events UNION ALL "
+                             "SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'nation', count(*) FROM nation")
+    q["run_counters"] = _with(run_ctes(), _counters_select())
+    unpivot = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS ord, '{m}' AS metric, {m} AS value FROM c" for i, m in enumerate(_RUN_METRICS))
+    q["run_summary"] = _with(run_ctes() + ",\nc AS (" + _counters_select() + ")", unpivot)
+    q["ip_summary"] = _with(run_ctes() + """,
+agg AS (SELECT log_date AS date, source_ip, count(*) AS frequency,
+  array_to_string(list_sort(list_distinct(list(destination_port))), ',') AS ports_targeted,
+  max(CASE WHEN reason = 'INTRUSION-DETECTED' THEN 2 WHEN reason IN ('PORTSCAN', 'MALFORMED-PACKET') THEN 1 ELSE 0 END) AS lvl,
+  array_to_string(list_sort(list_distinct(list(action))), ',') AS action_taken,
+  array_to_string(list_sort(list_distinct(list(reason))), ',') AS notes
+FROM store GROUP BY 1, 2)""", """SELECT date, a.source_ip, frequency, ports_targeted,
+  CASE lvl WHEN 2 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'LOW' END AS log_level, action_taken,
+  COALESCE(NULLIF(concat_ws(', ', NULLIF(g.city, ''), NULLIF(g.region, ''), NULLIF(g.country, '')), ''), 'unknown') AS geolocation,
+  notes
+FROM agg a LEFT JOIN geo_run g ON g.ip_address = a.source_ip""")
+    q["first_last_seen"] = _with(ingest_ctes("newest"), "SELECT source_ip, min(timestamp) AS first_seen, max(timestamp) AS last_seen, count(*) AS events FROM store GROUP BY 1")
+    q["top_sources"] = _with(ingest_ctes("newest"), "SELECT source_ip, count(*) AS events FROM store GROUP BY 1 ORDER BY events DESC, source_ip LIMIT 10")
+    q["top_ports"] = _with(ingest_ctes("newest"), "SELECT destination_port, count(*) AS events FROM store GROUP BY 1 ORDER BY events DESC, destination_port LIMIT 10")
+    q["attack_trend"] = _with(run_ctes() + """,
+per_ip AS (SELECT log_date, source_ip, count(*) AS n FROM store GROUP BY 1, 2)""", """SELECT p.log_date AS date,
+  CASE WHEN COALESCE(g.country, '') = '' THEN 'unknown' ELSE g.country END AS country, CAST(sum(n) AS BIGINT) AS events
+FROM per_ip p LEFT JOIN geo_run g ON g.ip_address = p.source_ip GROUP BY 1, 2""")
+
+
+_build_base = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_base()
+    build_more(q)
+    return q
