@@ -195,6 +195,19 @@ def q_attack_trend(spark, sf_dir):
     return RP.attack_trend(*_store_and_geo(spark, sf_dir))
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Fixture log written as text files, ingested by the file stream."""
+    from firelog.session import scratch_path
+    from firelog.sources.tables import read_log_store
+    from firelog.streaming.ingest_stream import run_ingest_stream
+
+    src = scratch_path(spark, "stream-src")
+    _lines(spark, sf_dir).orderBy("line_no").select("line").write.text(src)
+    store = scratch_path(spark, "stream-store")
+    run_ingest_stream(spark, src, store)
+    return _store_cols(read_log_store(spark, store))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_class_counts": q_line_class_counts,
     "valid_lines": q_valid_lines,
@@ -224,6 +237,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sources": q_top_sources,
     "top_ports": q_top_ports,
     "attack_trend": q_attack_trend,
+    "stream_ingest": q_stream_ingest,
 }
 
 

@@ -37,13 +37,20 @@ def _field_type(v: Column, key: str) -> Column:
     return F.schema_of_variant(F.variant_get(v, f"$.{key}", "variant"))
 
 
-def decode_geo_answer(status_code: Column, body: Column) -> Column:
+def parse_body(body: Column) -> Column:
+    """The body as VARIANT (NULL if it is not JSON). Parse once, then pass
+    the column to :func:`decode_geo_answer`."""
+    return F.try_parse_json(body)
+
+
+def decode_geo_answer(status_code: Column, v: Column) -> Column:
     """Struct ``(country, region, city, isp, latitude, longitude, geo_error)``.
 
-    ``geo_error`` is NULL when the answer decodes; then the attributes hold
-    the decoded values. On error the attributes are NULL.
+    ``v`` is the body parsed by :func:`parse_body` (kept as its own column
+    so the JSON text is parsed once per answer). ``geo_error`` is NULL when
+    the answer decodes; then the attributes hold the decoded values. On
+    error the attributes are NULL.
     """
-    v = F.try_parse_json(body)
     top = F.schema_of_variant(v)
     is_object = top.startswith("OBJECT")
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firelog import schemas as S
-from firelog.functions.geojson import decode_geo_answer
+from firelog.functions.geojson import decode_geo_answer, parse_body
 
 DECODED_COLUMNS = ("country", "region", "city", "isp", "latitude", "longitude", "geo_error")
 
@@ -35,8 +35,9 @@ def geo_candidates(seen: DataFrame, geo: DataFrame) -> DataFrame:
 
 def decode_answers(answers: DataFrame) -> DataFrame:
     """Answers with the decoded attributes and ``geo_error`` added."""
-    d = decode_geo_answer(F.col("status_code"), F.col("body"))
-    return answers.withColumn("_d", d).select(
+    parsed = answers.withColumn("_v", parse_body(F.col("body")))
+    d = decode_geo_answer(F.col("status_code"), F.col("_v"))
+    return parsed.withColumn("_d", d).select(
         *[c for c in answers.columns], *[F.col(f"_d.{c}").alias(c) for c in DECODED_COLUMNS]
     )
 

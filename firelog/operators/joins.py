@@ -26,12 +26,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   check_rows: bool = False, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``fact`` joined to a dimension unique on ``on``.
 
-    Broadcast hash join when the dimension is proven small; else a shuffle
-    join left to adaptive execution (skew-join splitting on).
+    Default: no hint. Adaptive execution measures the dimension side after
+    its shuffle stage and switches to a broadcast hash join only if the
+    measured bytes are below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    otherwise it stays a sort-merge join whose skewed partitions (a hot
+    address) are split by the skew-join rule. With ``check_rows`` (for a
+    stored dimension, where counting is cheap) the broadcast hint is given
+    after the bounded row check instead.
     """
-    if fits_broadcast(dim, max_broadcast_rows):
+    if check_rows and fits_broadcast(dim, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

@@ -249,6 +249,7 @@ FROM store GROUP BY 1, 2)""", """SELECT date, a.source_ip, frequency, ports_targ
   COALESCE(NULLIF(concat_ws(', ', NULLIF(g.city, ''), NULLIF(g.region, ''), NULLIF(g.country, '')), ''), 'unknown') AS geolocation,
   notes
 FROM agg a LEFT JOIN geo_run g ON g.ip_address = a.source_ip""")
+    q["stream_ingest"] = q["ingest_newest_first"]
     q["first_last_seen"] = _with(ingest_ctes("newest"), "SELECT source_ip, min(timestamp) AS first_seen, max(timestamp) AS last_seen, count(*) AS events FROM store GROUP BY 1")
     q["top_sources"] = _with(ingest_ctes("newest"), "SELECT source_ip, count(*) AS events FROM store GROUP BY 1 ORDER BY events DESC, source_ip LIMIT 10")
     q["top_ports"] = _with(ingest_ctes("newest"), "SELECT destination_port, count(*) AS events FROM store GROUP BY 1 ORDER BY events DESC, destination_port LIMIT 10")
