@@ -11,35 +11,27 @@ _UNIT_LIMIT = 20 * 1024 - 1
 _UNITS = ("kB", "MB", "GB", "TB", "PB")
 
 
-def _half_rounded(x: Column) -> Column:
-    # (x + sign) / 2 with truncation toward zero, as C integer division.
-    signed = x + F.when(x < 0, -1).otherwise(1)
-    return F.when(signed < 0, -((-signed) / 2).cast("bigint")).otherwise(
-        (signed / 2).cast("bigint")
-    )
-
-
 def size_pretty(size_bytes: Column) -> Column:
     """``8192 bytes``, ``16 kB``, ``120 MB`` ...
 
     Below 10240 bytes the exact count is shown. Above, the value is kept in
-    half-units so that the final step can round half away from zero, and a
-    unit is used while the value stays below 20479 of it.
+    half-units (bytes >> 9, then >> 10 per unit) so that the last step can
+    round half away from zero, and a unit is used while the value stays
+    below 20479 of its half-units. Computed on the magnitude (division
+    truncating toward zero and symmetric rounding make the sign separable).
     """
     b = size_bytes.cast("bigint")
+    sign = F.when(b < 0, F.lit("-")).otherwise(F.lit(""))
+    a = F.abs(b)
 
-    def tdiv(x: Column, d: int) -> Column:
-        q = (F.abs(x) / F.lit(d)).cast("bigint")
-        return F.when(x < 0, -q).otherwise(q)
+    def shown(x: Column, unit: str) -> Column:
+        return F.concat(sign, F.shiftright(x + 1, 1).cast("string"), F.lit(" " + unit))
 
-    expr = F.when(F.abs(b) < _BYTES_LIMIT, F.concat(b.cast("string"), F.lit(" bytes")))
-    half_units = tdiv(b, 512)  # size in half-kB
+    expr = F.when(a < _BYTES_LIMIT, F.concat(b.cast("string"), F.lit(" bytes")))
+    half = F.shiftright(a, 9)
     for i, unit in enumerate(_UNITS):
-        text = F.concat(_half_rounded(half_units).cast("string"), F.lit(" " + unit))
-        last = i == len(_UNITS) - 1
-        if last:
-            expr = expr.otherwise(text)
-        else:
-            expr = expr.when(F.abs(half_units) < _UNIT_LIMIT, text)
-            half_units = tdiv(half_units, 1024)
+        if i == len(_UNITS) - 1:
+            return expr.otherwise(shown(half, unit))
+        expr = expr.when(half < _UNIT_LIMIT, shown(half, unit))
+        half = F.shiftright(half, 10)
     return expr

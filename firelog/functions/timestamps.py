@@ -23,7 +23,7 @@ def _exact_parse(text: Column) -> Column:
     minute = F.substring(base, 15, 2)
     second = F.substring(base, 18, 2)
     frac = F.when(F.length(base) > 20, base.substr(F.lit(21), F.length(base) - 20)).otherwise(F.lit(""))
-    frac_is_zero = F.ltrim(F.lit("0"), frac) == ""
+    frac_is_zero = F.ltrim(frac, F.lit("0")) == ""
 
     is_24 = (hour == "24") & (minute == "00") & (second == "00") & frac_is_zero
     is_60 = second == "60"
