@@ -30,11 +30,14 @@ ERR_NO_ANSWER = "no answer"
 ERR_MALFORMED = "malformed json"
 ERR_WRONG_TYPE = "wrong json type"
 
-_NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
+_NUMBER_START = tuple("-0123456789")
 
 
-def _field_type(v: Column, key: str) -> Column:
-    return F.schema_of_variant(F.variant_get(v, f"$.{key}", "variant"))
+def _kind(sub: Column) -> Column:
+    """First character of a JSON value's text: ``"`` string, ``n`` null,
+    ``-``/digit number, ``{``/``[`` container, ``t``/``f`` boolean; NULL
+    when the key is absent. Cheaper than building the full type string."""
+    return F.substring(F.to_json(sub), 1, 1)
 
 
 def parse_body(body: Column) -> Column:
@@ -43,40 +46,56 @@ def parse_body(body: Column) -> Column:
     return F.try_parse_json(body)
 
 
-def decode_geo_answer(status_code: Column, v: Column) -> Column:
-    """Struct ``(country, region, city, isp, latitude, longitude, geo_error)``.
+def answer_kinds(v: Column) -> dict[str, Column]:
+    """JSON kind of the whole body (``_top``) and of each decoded key."""
+    kinds = {"_top": _kind(v)}
+    for name, key in {**TEXT_KEYS, **NUMBER_KEYS}.items():
+        kinds[name] = _kind(F.variant_get(v, f"$.{key}", "variant"))
+    return kinds
 
-    ``v`` is the body parsed by :func:`parse_body` (kept as its own column
-    so the JSON text is parsed once per answer). ``geo_error`` is NULL when
-    the answer decodes; then the attributes hold the decoded values. On
-    error the attributes are NULL.
-    """
-    top = F.schema_of_variant(v)
-    is_object = top.startswith("OBJECT")
 
+def answer_error(status_code: Column, v: Column, kinds: dict[str, Column]) -> Column:
+    """``geo_error`` from the status, the parsed body and the kinds."""
     type_ok = None
-    values = {}
-    for name, key in TEXT_KEYS.items():
-        t = _field_type(v, key)
-        empty = t.isNull() | (t == "VOID")
-        ok = empty | (t == "STRING")
+    for name in TEXT_KEYS:
+        k = kinds[name]
+        ok = k.isNull() | k.isin("n", '"')
         type_ok = ok if type_ok is None else (type_ok & ok)
-        values[name] = F.when(is_object & (t == "STRING"), F.try_variant_get(v, f"$.{key}", "string")).otherwise(F.lit(""))
-    for name, key in NUMBER_KEYS.items():
-        t = _field_type(v, key)
-        empty = t.isNull() | (t == "VOID")
-        is_num = F.regexp_like(F.coalesce(t, F.lit("")), F.lit(_NUMERIC_TYPE))
-        type_ok = type_ok & (empty | is_num)
-        values[name] = F.when(is_object & is_num, F.try_variant_get(v, f"$.{key}", "double")).otherwise(F.lit(0.0))
-
-    error = (
+    for name in NUMBER_KEYS:
+        k = kinds[name]
+        type_ok = type_ok & (k.isNull() | k.isin("n", *_NUMBER_START))
+    top = kinds["_top"]
+    return (
         F.when(status_code.isNull(), F.lit(ERR_NO_ANSWER))
         .when(status_code != 200, F.concat(F.lit("status "), status_code.cast("string")))
         .when(v.isNull(), F.lit(ERR_MALFORMED))
-        .when(top == "VOID", F.lit(None).cast("string"))
-        .when(~is_object, F.lit(ERR_WRONG_TYPE))
+        .when(top == "n", F.lit(None).cast("string"))
+        .when(top != "{", F.lit(ERR_WRONG_TYPE))
         .when(~type_ok, F.lit(ERR_WRONG_TYPE))
     )
+
+
+def answer_values(v: Column, kinds: dict[str, Column]) -> dict[str, Column]:
+    """Decoded attributes: value of the right kind, else ``''`` / ``0.0``."""
+    out = {}
+    for name, key in TEXT_KEYS.items():
+        out[name] = F.when(kinds[name] == '"', F.try_variant_get(v, f"$.{key}", "string")).otherwise(F.lit(""))
+    for name, key in NUMBER_KEYS.items():
+        is_num = kinds[name].isin(*_NUMBER_START)
+        out[name] = F.when(is_num, F.try_variant_get(v, f"$.{key}", "double")).otherwise(F.lit(0.0))
+    return out
+
+
+def decode_geo_answer(status_code: Column, v: Column) -> Column:
+    """Struct ``(country, region, city, isp, latitude, longitude, geo_error)``.
+
+    Single-expression form; ``firelog.operators.geo.decode_answers`` computes
+    the same in stages (parse, kinds, error, values) so that each part is
+    evaluated once per answer. On error the attributes are NULL.
+    """
+    kinds = answer_kinds(v)
+    error = answer_error(status_code, v, kinds)
+    values = answer_values(v, kinds)
     ok = error.isNull()
     fields = [F.when(ok, values[n]).alias(n) for n in (*TEXT_KEYS, *NUMBER_KEYS)]
     return F.struct(*fields, error.alias("geo_error"))

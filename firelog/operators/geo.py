@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firelog import schemas as S
-from firelog.functions.geojson import decode_geo_answer, parse_body
+from firelog.functions import geojson as J
 
 DECODED_COLUMNS = ("country", "region", "city", "isp", "latitude", "longitude", "geo_error")
 
@@ -34,11 +34,22 @@ def geo_candidates(seen: DataFrame, geo: DataFrame) -> DataFrame:
 
 
 def decode_answers(answers: DataFrame) -> DataFrame:
-    """Answers with the decoded attributes and ``geo_error`` added."""
-    parsed = answers.withColumn("_v", parse_body(F.col("body")))
-    d = decode_geo_answer(F.col("status_code"), F.col("_v"))
-    return parsed.withColumn("_d", d).select(
-        *[c for c in answers.columns], *[F.col(f"_d.{c}").alias(c) for c in DECODED_COLUMNS]
+    """Answers with the decoded attributes and ``geo_error`` added.
+
+    Staged: the body is parsed once into a VARIANT, then the JSON kind of
+    each key, then the error, then the values -- each its own projection.
+    """
+    parsed = answers.withColumn("_v", J.parse_body(F.col("body")))
+    kinds = J.answer_kinds(F.col("_v"))
+    with_kinds = parsed.select("*", *[k.alias(f"_k{n}") for n, k in kinds.items()])
+    kcols = {n: F.col(f"_k{n}") for n in kinds}
+    with_err = with_kinds.withColumn("geo_error", J.answer_error(F.col("status_code"), F.col("_v"), kcols))
+    values = J.answer_values(F.col("_v"), kcols)
+    ok = F.col("geo_error").isNull()
+    return with_err.select(
+        *answers.columns,
+        *[F.when(ok, values[n]).alias(n) for n in DECODED_COLUMNS if n != "geo_error"],
+        "geo_error",
     )
 
 

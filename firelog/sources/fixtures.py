@@ -121,7 +121,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ip, k, status_code, body)``: one provider answer per customer."""
-    customer = read_table(spark, sf_dir, "customer")
+    from firelog.operators.layout import ensure_parallelism
+
+    customer = ensure_parallelism(read_table(spark, sf_dir, "customer"), "c_custkey")
     nation = read_table(spark, sf_dir, "nation")
     return spark_sql(spark, GEO_ANSWERS_SQL, customer=customer, nation=nation)
 
