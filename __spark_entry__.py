@@ -242,12 +242,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship: lines -> triage -> ingest on sf0.001."""
-    return q_ingest_newest_first(spark, SMOKE_DIR)
+    """Flagship on sf0.001: lines -> triage -> ingest -> enrich -> per-address summary."""
+    return queries()["ip_summary"](spark, SMOKE_DIR)
+
+
+def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {name: _configured(fn) for name, fn in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -46,13 +46,16 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a fresh temporary folder
-    is created and registered as the checkpoint folder.
+    Only when the session names none and runs in local mode (tests) a fresh
+    temporary folder is created and registered; on a cluster a missing
+    setting is an error, never a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for scratch data")
         root = tempfile.mkdtemp(prefix="firelog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
