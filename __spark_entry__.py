@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +89,25 @@ def _existing_geo(spark, sf_dir):
     )
 
 
-def _run(spark, sf_dir):
-    """Ingest of the whole log (newest first) + one enrichment run."""
+def _run(spark, sf_dir, parse_all=False):
+    """Ingest of the whole log (newest first) + one enrichment run.
+
+    The flagged rows feed both the store and the enrichment; they are
+    persisted (memory, spilling to disk) so the regex pass runs once. The
+    batch job in ``firelog.plans.batch`` writes them to a staging table
+    instead.
+    """
     lines = _lines(spark, sf_dir)
-    out = I.ingest(lines, order="newest")
-    geo = G.enrich(out["rows"], _existing_geo(spark, sf_dir), FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
+    if parse_all:
+        # every line is classified (for the counters): parse once, reuse
+        lines = TR.parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = I.store_rows_from_parsed(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        rows = I.store_rows_from_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    acc = I.accepted(rows)
+    out = {"rows": rows, "rejected": I.rejected(rows), "accepted": acc,
+           "new_rows": I.insert_if_absent(acc, None, "newest")}
+    geo = G.enrich(rows, _existing_geo(spark, sf_dir), FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
     return lines, out, geo
 
 
@@ -163,8 +178,8 @@ def q_table_row_counts(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    lines, out, geo = _run(spark, sf_dir)
-    return RP.run_summary(TR.parse_lines(lines), out["rows"], out["new_rows"], geo["fetched"])
+    parsed, out, geo = _run(spark, sf_dir, parse_all=True)
+    return RP.run_summary(parsed, out["rows"], out["new_rows"], geo["fetched"])
 
 
 def q_run_summary(spark, sf_dir):

@@ -127,6 +127,15 @@ def store_rows_from_lines(lines: DataFrame, line_col: str = "line") -> DataFrame
     return rows.where(F.col("line_class") == "flagged").drop("line_class")
 
 
+def store_rows_from_parsed(parsed: DataFrame) -> DataFrame:
+    """Flagged rows of an already parsed (and fenced or stored) frame of lines,
+    for runs that classify every line anyway (counters)."""
+    from firelog.operators.fence import fence
+
+    flagged = parsed.where(F.col("line_class") == "flagged").drop("line_class")
+    return fence(to_store_rows(flagged))
+
+
 def ingest(lines: DataFrame, store: DataFrame | None = None, order: str = "newest") -> dict[str, DataFrame]:
     """One batch of lines: frames for every outcome.
 
