@@ -106,3 +106,25 @@ def test_json_sink_round_trip(spark, tmp_dir):
     back = [json.loads(x) for p in sorted(os.listdir(f"{tmp_dir}/out")) if p.endswith(".json")
             for x in open(f"{tmp_dir}/out/{p}")]
     assert sorted(back, key=lambda d: d["key"]) == [{"key": "a", "value": "1"}, {"key": "b", "value": "2"}]
+
+
+def test_long_line_policy(spark, tmp_dir):
+    import pytest
+
+    src = f"{tmp_dir}/in"
+    write_text(src, "a.log", ["short", "x" * 70000])
+    kept = read_log_lines(spark, src, long_lines="keep").count()
+    assert kept == 2
+    with pytest.raises(Exception):
+        read_log_lines(spark, src).collect()
+
+
+def test_parse_filters_do_not_reevaluate_regex(spark):
+    from firelog.operators.ingest import store_rows_from_lines
+
+    lines = spark.createDataFrame([(1, mk("2025-01-05T00:00:01Z"))], "line_no long, line string")
+    plan = store_rows_from_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [ln for ln in plan.splitlines() if "Filter" in ln]
+    # the class filter sits above the fence and tests a column, not a regex
+    assert any("line_class" in f for f in filters)
+    assert not any("regexp_extract" in f for f in filters)
