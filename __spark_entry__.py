@@ -276,6 +276,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle_sql import build
+    from oracle_sql import build_all
 
-    return build()
+    return build_all()

@@ -90,15 +90,17 @@ def ingest_ctes(order: str = "newest") -> str:
 store AS ({dedup_sql("(SELECT * FROM rows WHERE reject_reason IS NULL)", order)})"""
 
 
+def _renamed(ctes: str, suffix: str) -> str:
+    """The same CTE chain with every CTE name suffixed (for a second run)."""
+    for name in ("lines", "raw", "parsed", "flagged", "rows"):
+        ctes = ctes.replace(f"{name} AS (", f"{name}{suffix} AS (")
+        ctes = ctes.replace(f"FROM {name})", f"FROM {name}{suffix})").replace(f"FROM {name} ", f"FROM {name}{suffix} ")
+    return ctes
+
+
 def incremental_ctes(order: str = "newest") -> str:
     """Two runs: first half of the log, then the whole log again; store wins."""
-    first = rows_ctes("line_no < (SELECT count(*) FROM events)").replace("lines AS", "lines1 AS", 1)
-    # Build the two runs with distinct CTE names.
-    half = rows_ctes("line_no < (SELECT count(*) FROM events)")
-    for name in ("lines", "raw", "parsed", "flagged", "rows"):
-        half = half.replace(f"{name} AS (", f"{name}1 AS (").replace(f"FROM {name})", f"FROM {name}1)")
-        half = half.replace(f"FROM {name} ", f"FROM {name}1 ")
-    del first
+    half = _renamed(rows_ctes("line_no < (SELECT count(*) FROM events)"), "1")
     return f"""{half},
 store1 AS ({dedup_sql("(SELECT * FROM rows1 WHERE reject_reason IS NULL)", order)}),
 {rows_ctes()},
@@ -259,10 +261,7 @@ per_ip AS (SELECT log_date, source_ip, count(*) AS n FROM store GROUP BY 1, 2)""
 FROM per_ip p LEFT JOIN geo_run g ON g.ip_address = p.source_ip GROUP BY 1, 2""")
 
 
-_build_base = build
-
-
-def build() -> dict[str, str]:  # noqa: F811
-    q = _build_base()
+def build_all() -> dict[str, str]:
+    q = build()
     build_more(q)
     return q
