@@ -70,10 +70,14 @@ def run_counters_from(summary: DataFrame) -> DataFrame:
     return _pivot(summary, list(RUN_METRICS))
 
 
-def enriched_logs(store: DataFrame, geo: DataFrame) -> DataFrame:
-    """Log rows with country, region, city and isp of their source address."""
+def enriched_logs(store: DataFrame, geo: DataFrame, check_rows: bool = False) -> DataFrame:
+    """Log rows with country, region, city and isp of their source address.
+
+    ``check_rows``: the geo side is a stored table, so a bounded row count
+    decides the broadcast up front (see ``joins.join_dimension``).
+    """
     dim = geo.select(F.col("ip_address").alias("source_ip"), "country", "region", "city", "isp")
-    return join_dimension(store, dim, "source_ip", "left").select(
+    return join_dimension(store, dim, "source_ip", "left", check_rows=check_rows).select(
         *S.LOG_COLUMNS, "country", "region", "city", "isp"
     )
 
@@ -82,7 +86,7 @@ def _joined_sorted_set(c: str) -> F.Column:
     return F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x.cast("string")), ",")
 
 
-def ip_summary(store: DataFrame, geo: DataFrame) -> DataFrame:
+def ip_summary(store: DataFrame, geo: DataFrame, check_rows: bool = False) -> DataFrame:
     """One row per (log date, source address).
 
     ``frequency`` rows; ``ports_targeted`` ascending distinct destination
@@ -107,7 +111,7 @@ def ip_summary(store: DataFrame, geo: DataFrame) -> DataFrame:
         _joined_sorted_set("reason").alias("notes"),
     )
     dim = geo.select(F.col("ip_address").alias("source_ip"), "city", "region", "country")
-    j = join_dimension(agg, dim, "source_ip", "left")
+    j = join_dimension(agg, dim, "source_ip", "left", check_rows=check_rows)
     place = F.concat_ws(", ", *[F.when(F.col(c) != "", F.col(c)) for c in ("city", "region", "country")])
     return j.select(
         "date", "source_ip", "frequency", "ports_targeted",
@@ -139,14 +143,14 @@ def top_ports(store: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("events").desc(), F.col("destination_port")).limit(k)
 
 
-def attack_trend(store: DataFrame, geo: DataFrame) -> DataFrame:
+def attack_trend(store: DataFrame, geo: DataFrame, check_rows: bool = False) -> DataFrame:
     """Flagged rows per day and country (``unknown`` when not located).
 
     Pre-aggregated per (day, address) before the geo join.
     """
     per_ip = store.groupBy(S.LOG_PARTITION, "source_ip").agg(F.count("*").alias("n"))
     dim = geo.select(F.col("ip_address").alias("source_ip"), "country")
-    j = join_dimension(per_ip, dim, "source_ip", "left")
+    j = join_dimension(per_ip, dim, "source_ip", "left", check_rows=check_rows)
     country = F.when(F.coalesce(F.col("country"), F.lit("")) == "", "unknown").otherwise(F.col("country"))
     return j.groupBy(F.col(S.LOG_PARTITION).alias("date"), country.alias("country")).agg(
         F.sum("n").cast("bigint").alias("events")

@@ -128,3 +128,25 @@ def test_parse_filters_do_not_reevaluate_regex(spark):
     # the class filter sits above the fence and tests a column, not a regex
     assert any("line_class" in f for f in filters)
     assert not any("regexp_extract" in f for f in filters)
+
+
+def test_reports_over_stored_tables(spark, tmp_dir):
+    from firelog.plans import reports as RPT
+
+    src, store = f"{tmp_dir}/in", f"{tmp_dir}/store"
+    write_text(src, "a.log", [mk("2025-01-05T00:00:01Z", src="10.0.0.1", spt=1),
+                              mk("2025-01-05T00:00:02Z", src="10.0.0.1", spt=2, reason="INTRUSION-DETECTED"),
+                              mk("2025-01-06T00:00:03Z", src="10.0.0.2")])
+    answers = spark.createDataFrame([("10.0.0.1", 200, '{"country":"US","regionName":"CA","city":"A"}')],
+                                    "ip string, status_code int, body string")
+    B.run(spark, src, store, answers, None, f"{tmp_dir}/geo", "2024-02-01 00:00:00")
+    rep = {(str(r.date), r.source_ip): r for r in RPT.ip_summary_report(spark, store, f"{tmp_dir}/geo").collect()}
+    r = rep[("2025-01-05", "10.0.0.1")]
+    assert (r.frequency, r.ports_targeted, r.log_level, r.geolocation) == (2, "22", "HIGH", "A, CA, US")
+    assert rep[("2025-01-06", "10.0.0.2")].geolocation == "unknown"
+    one_day = RPT.ip_summary_report(spark, store, f"{tmp_dir}/geo", first_day="2025-01-06").count()
+    assert one_day == 1
+    plan = RPT.enriched_logs_report(spark, store, f"{tmp_dir}/geo")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+    assert RPT.logs_page(spark, store, 2).count() == 2
+    assert RPT.geo_lookup(spark, f"{tmp_dir}/geo", "10.0.0.1").count() == 1
