@@ -29,14 +29,20 @@ def page_params(limit: object = None, offset: object = None) -> tuple[int, int]:
     return lim, off
 
 
-def newest_dates_needed(store: DataFrame, rows_needed: int) -> DataFrame:
+def newest_dates_needed(store: DataFrame, rows_needed: int, day_counts: DataFrame | None = None) -> DataFrame:
     """Store restricted to the newest dates holding the first ``rows_needed`` rows.
 
     Per-date row counts (one row per stored day) give, newest first, the
     oldest date still needed; the bound is a scalar subquery, so a store
-    partitioned by ``log_date`` is pruned at run time to those days.
+    partitioned by ``log_date`` is pruned at run time to those days. The
+    counts come from ``day_counts`` (the store's small day index, see
+    ``sources.tables.refresh_day_index``) when given, else from counting the
+    store. The running sum is a window over one row per day.
     """
-    per_day = store.groupBy(S.LOG_PARTITION).agg(F.count("*").alias("n"))
+    if day_counts is not None:
+        per_day = day_counts.select(S.LOG_PARTITION, F.col("rows").alias("n"))
+    else:
+        per_day = store.groupBy(S.LOG_PARTITION).agg(F.count("*").alias("n"))
     newer = Window.orderBy(F.col(S.LOG_PARTITION).desc()).rowsBetween(Window.unboundedPreceding, -1)
     cum = per_day.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
     cutoff = cum.where(F.col("before") < rows_needed).select(F.min(S.LOG_PARTITION)).scalar()
@@ -44,7 +50,7 @@ def newest_dates_needed(store: DataFrame, rows_needed: int) -> DataFrame:
 
 
 def logs_page(store: DataFrame, limit: object = None, offset: object = None,
-              prune_days: bool = False) -> DataFrame:
+              prune_days: bool = False, day_counts: DataFrame | None = None) -> DataFrame:
     """One page of stored rows, newest first.
 
     Ties on the timestamp are broken by the rest of the unique key so the
@@ -54,7 +60,7 @@ def logs_page(store: DataFrame, limit: object = None, offset: object = None,
     stored, date-partitioned table). A NULL action is returned as NULL.
     """
     lim, off = page_params(limit, offset)
-    src = newest_dates_needed(store, lim + off) if prune_days else store
+    src = newest_dates_needed(store, lim + off, day_counts) if prune_days else store
     ordered = src.orderBy(
         F.col("timestamp").desc(), *[F.col(c).asc() for c in S.LOG_KEY[1:]]
     ).offset(off).limit(lim)

@@ -74,6 +74,8 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     obs_new = Observation("firelog_inserted")
     new_rows = new_rows.observe(obs_new, F.count(F.lit(1)).alias("inserted"))
     TB.append_log_store(new_rows, store_path)
+    day = F.col(S.LOG_PARTITION)
+    TB.refresh_day_index(spark, store_path, acc.select(F.min(day)).scalar(), acc.select(F.max(day)).scalar())
 
     counts = dict(obs_lines.get)
     totals = staged.agg(

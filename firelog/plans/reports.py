@@ -53,9 +53,11 @@ def enriched_logs_report(spark: SparkSession, store_path: str, geo_path: str,
 
 
 def logs_page(spark: SparkSession, store_path: str, limit: object = None, offset: object = None) -> DataFrame:
-    """One page of the stored log, newest first, scanning only the newest days."""
+    """One page of the stored log, newest first, scanning only the newest days
+    (found from the store's day index when the ingest job wrote one)."""
     configure(spark)
-    return R.logs_page(_store(spark, store_path, None, None), limit, offset, prune_days=True)
+    return R.logs_page(_store(spark, store_path, None, None), limit, offset, prune_days=True,
+                       day_counts=TB.read_day_index(spark, store_path))
 
 
 def geo_lookup(spark: SparkSession, geo_path: str, ip: str) -> DataFrame:

@@ -38,6 +38,36 @@ def append_log_store(new_rows: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy(S.LOG_PARTITION).parquet(path))
 
 
+DAY_INDEX = "_days"
+
+
+def day_index_path(store_path: str) -> str:
+    """Per-day row counts kept next to the store (a ``_`` folder, which the
+    store's partition discovery skips)."""
+    return f"{store_path.rstrip('/')}/{DAY_INDEX}"
+
+
+def refresh_day_index(spark: SparkSession, store_path: str, first_day, last_day) -> None:
+    """Recount the store's rows for the days ``first_day..last_day`` (Columns or
+    literals) and replace just those days in the index (dynamic partition
+    overwrite). Counting reads only Parquet footers of the touched days."""
+    store = read_log_store(spark, store_path)
+    if store is None:
+        return
+    counts = (store.where(F.col(S.LOG_PARTITION).between(first_day, last_day))
+              .groupBy(S.LOG_PARTITION).agg(F.count(F.lit(1)).alias("rows")))
+    (counts.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(S.LOG_PARTITION).parquet(day_index_path(store_path)))
+
+
+def read_day_index(spark: SparkSession, store_path: str) -> DataFrame | None:
+    """``(log_date, rows)`` per stored day, or None if no index was written."""
+    path = day_index_path(store_path)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(f"rows BIGINT, {S.LOG_PARTITION} DATE").parquet(path)
+
+
 def read_geo_table(spark: SparkSession, path: str | None) -> DataFrame:
     """The geo table; an empty one if ``path`` is None or missing."""
     if path and path_exists(spark, path):

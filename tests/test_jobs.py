@@ -150,3 +150,18 @@ def test_reports_over_stored_tables(spark, tmp_dir):
     assert "Broadcast" in plan
     assert RPT.logs_page(spark, store, 2).count() == 2
     assert RPT.geo_lookup(spark, f"{tmp_dir}/geo", "10.0.0.1").count() == 1
+
+
+def test_day_index_tracks_store(spark, tmp_dir):
+    from firelog.plans import reports as RPT
+
+    src, store = f"{tmp_dir}/in", f"{tmp_dir}/store"
+    write_text(src, "part-0001.log", [mk(f"2025-01-0{d}T00:00:0{s}Z", spt=s) for d in (1, 2, 3) for s in range(3)])
+    B.run_ingest(spark, src, store)
+    write_text(src, "part-0002.log", [mk("2025-01-03T00:00:09Z"), mk("2025-01-04T00:00:00Z")])
+    B.run_ingest(spark, src, store)
+    idx = {str(r.log_date): r.rows for r in TB.read_day_index(spark, store).collect()}
+    st = {str(r.log_date): r["count"] for r in TB.read_log_store(spark, store).groupBy("log_date").count().collect()}
+    assert idx == st == {"2025-01-01": 3, "2025-01-02": 3, "2025-01-03": 4, "2025-01-04": 1}
+    page = RPT.logs_page(spark, store, 3, 1).collect()
+    assert [r.timestamp for r in page] == ["2025-01-03T00:00:09Z", "2025-01-03T00:00:02Z", "2025-01-03T00:00:01Z"]
