@@ -69,3 +69,12 @@ def test_table_stats(spark, tmp_dir):
     assert all(r.size_bytes > 0 and r.size.endswith("bytes") for r in stats)
     sizes = [r.size_bytes for r in stats]
     assert sizes == sorted(sizes, reverse=True)
+
+
+def test_database_size(spark, tmp_dir):
+    a = f"{tmp_dir}/a"
+    spark.range(100000).write.parquet(a)
+    stats = ST.table_stats(spark, {"a": a})
+    row = ST.database_size(stats).first()
+    assert row.size_bytes == stats.first().size_bytes > 0
+    assert row.database_size.endswith(("bytes", "kB", "MB"))
