@@ -140,4 +140,4 @@ def summary_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 
-__all__ = ["ingest_lines", "run_ingest", "run_enrichment", "run", "summary_frame", "S"]
+__all__ = ["ingest_lines", "run_ingest", "run_enrichment", "run", "summary_frame"]

@@ -5,8 +5,8 @@ The driver's tables hold no syslog text, so syslog lines are generated from
 text runs in Spark and in DuckDB (the oracle) after two substitutions, so
 both engines start from identical input:
 
-``{STR}``  string type name;  ``{TS}``  microsecond timestamp text of ``ts``;
-``{IDIV256}`` / ``{IDIV65536}`` are written as ``CAST(floor(x / n) AS BIGINT)``.
+``{STR}``  string type name;  ``{TS}``  microsecond timestamp text of ``ts``.
+Integer division is written ``CAST(floor(x / n) AS BIGINT)``, valid in both.
 
 Every line exercises one rule: empty line (k%29), missing timestamp (k%17),
 port-less ICMP (k%13) -> malformed; ALLOW / RATE-LIMIT -> benign; impossible

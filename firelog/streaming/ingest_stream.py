@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from firelog.operators.layout import ensure_parallelism
 from firelog.plans.batch import ingest_lines
 from firelog.session import configure, scratch_path
 from firelog.sources.lines import read_log_line_stream
@@ -45,7 +46,10 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
     counters: list[dict] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        counts, _ = ingest_lines(batch.sparkSession, _number_lines(batch), store_path, order, rejects_path)
+        # numbered first (positions follow the file splits), then spread if
+        # the micro-batch came in as a few large splits
+        numbered = ensure_parallelism(_number_lines(batch), "line_no")
+        counts, _ = ingest_lines(batch.sparkSession, numbered, store_path, order, rejects_path)
         counts["batch_id"] = batch_id
         counters.append(counts)
 
