@@ -113,18 +113,16 @@ def insert_if_absent(rows: DataFrame, store: DataFrame | None = None, order: str
 
 
 def store_rows_from_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Flagged lines as store rows with ``reject_reason``, evaluated once.
+    """Flagged lines as store rows with ``reject_reason``, each step evaluated once.
 
-    Cheap substring test first; then the ten regex searches and the
-    timestamp parse on the candidates only, fenced so that the class and
-    reject filters that follow do not re-evaluate them.
+    Cheap substring test first; the ten regex searches run on the candidates
+    only and are fenced; the class filter then drops malformed candidates
+    before the timestamp parse and range checks, which are fenced again so
+    the reject filters that follow test columns, not expressions.
     """
-    from firelog.operators.fence import fence
     from firelog.operators.triage import flagged_candidates, parse_lines
 
-    parsed = parse_lines(flagged_candidates(lines, line_col), line_col, fenced=False)
-    rows = fence(to_store_rows(parsed))
-    return rows.where(F.col("line_class") == "flagged").drop("line_class")
+    return store_rows_from_parsed(parse_lines(flagged_candidates(lines, line_col), line_col))
 
 
 def store_rows_from_parsed(parsed: DataFrame) -> DataFrame:
