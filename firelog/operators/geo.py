@@ -53,13 +53,21 @@ def decode_answers(answers: DataFrame) -> DataFrame:
     )
 
 
-def fetch(candidates: DataFrame, answers: DataFrame) -> DataFrame:
+def fetch(candidates: DataFrame, answers: DataFrame, broadcast_candidates: bool = False) -> DataFrame:
     """Each candidate with its decoded answer: ``(ip, attributes..., geo_error)``.
 
-    A candidate without an answer gets ``geo_error = 'no answer'``.
-    Answers must be unique per ``ip``.
+    A candidate without an answer gets ``geo_error = 'no answer'``. Answers
+    must be unique per ``ip``; only the candidates' answers are decoded.
+
+    ``broadcast_candidates`` (use after a size check of the candidates): the
+    answers are first semi-joined against the broadcast candidate list, so a
+    large provider table is streamed once and never shuffled (a left outer
+    join could only broadcast the answers side).
     """
-    joined = candidates.join(answers.select("ip", "status_code", "body"), "ip", "left")
+    ans = answers.select("ip", "status_code", "body")
+    if broadcast_candidates:
+        ans = ans.join(F.broadcast(candidates.select("ip")), "ip", "left_semi")
+    joined = candidates.join(ans, "ip", "left")
     return decode_answers(joined).select("ip", *DECODED_COLUMNS)
 
 

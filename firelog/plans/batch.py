@@ -103,12 +103,22 @@ def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str,
 def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | None, answers: DataFrame,
                    geo_out: str, as_of: str) -> dict[str, int]:
     """Look up the new source addresses of ``flagged_rows`` and write the
-    merged geo table as a new version at ``geo_out``."""
+    merged geo table as a new version at ``geo_out``.
+
+    The candidate list is written to scratch first (distinct new addresses,
+    small); when a bounded count shows it fits a broadcast, the answers are
+    filtered by a broadcast semi-join, so a large provider table is read
+    once and not shuffled.
+    """
+    from firelog.operators.joins import fits_broadcast
+
     configure(spark)
     geo = TB.read_geo_table(spark, geo_in)
-    res = G.enrich(flagged_rows, geo, answers, as_of)
+    cands_path = scratch_path(spark, "firelog-geo-candidates")
+    G.geo_candidates(G.seen_source_ips(flagged_rows), geo).write.parquet(cands_path)
+    cands = spark.read.parquet(cands_path)
     fetched_path = scratch_path(spark, "firelog-geo-fetched")
-    res["fetched"].write.parquet(fetched_path)
+    G.fetch(cands, answers, broadcast_candidates=fits_broadcast(cands)).write.parquet(fetched_path)
     fetched = spark.read.parquet(fetched_path)
     TB.write_geo_table(G.upsert_geo(geo, G.as_geo_rows(fetched, as_of)), geo_out)
     c = fetched.agg(
@@ -117,6 +127,7 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
         F.count_if(F.col("geo_error").isNotNull()).alias("geo_errors"),
     ).first()
     _delete(spark, fetched_path)
+    _delete(spark, cands_path)
     return c.asDict()
 
 

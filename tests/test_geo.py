@@ -76,3 +76,13 @@ def test_candidates_and_fetch(spark):
     new = G.as_geo_rows(G.fetch(cands, answers), "2024-02-01 00:00:00")
     merged = {r.ip_address: r.city for r in G.upsert_geo(geo, new).collect()}
     assert merged == {"10.0.0.1": "", "10.0.0.2": "San Francisco"}
+
+
+def test_fetch_streams_answers_through_broadcast_semi_join(spark):
+    cands = spark.createDataFrame([("10.0.0.2",), ("10.0.0.3",)], "ip string")
+    answers = spark.createDataFrame([(f"10.1.{i // 256}.{i % 256}", 200, SF) for i in range(500)]
+                                    + [("10.0.0.2", 200, SF)], "ip string, status_code int, body string")
+    f = G.fetch(cands, answers, broadcast_candidates=True)
+    assert {r.ip: r.geo_error for r in f.collect()} == {"10.0.0.2": None, "10.0.0.3": "no answer"}
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
