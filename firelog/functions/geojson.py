@@ -13,8 +13,10 @@ four text fields and two numbers:
 * text after the first JSON value is ignored; on duplicate keys the last
   wins (set ``spark.sql.variant.allowDuplicateKeys=true``).
 
-Known deviation: keys are matched exactly (a decoder matching keys
-case-insensitively would also accept ``"Country"``).
+* keys match exactly, else case-insensitively (``"Country"`` fills
+  ``country``). When a body has both spellings, the exact one is used (a
+  streaming decoder would take whichever comes last in the text; VARIANT
+  does not keep key order).
 """
 
 from __future__ import annotations
@@ -46,11 +48,29 @@ def parse_body(body: Column) -> Column:
     return F.try_parse_json(body)
 
 
-def answer_kinds(v: Column) -> dict[str, Column]:
+def _key_is(key: str):
+    low = key.lower()
+    return lambda k, _: F.lower(k) == low
+
+
+def answer_fields(v: Column) -> dict[str, Column]:
+    """The JSON value (VARIANT) of each decoded key: exact key, else the key
+    that equals it ignoring case; NULL when absent."""
+    out = {}
+    for name, key in {**TEXT_KEYS, **NUMBER_KEYS}.items():
+        exact = F.variant_get(v, f"$.{key}", "variant")
+        as_map = F.try_variant_get(v, "$", "map<string,variant>")
+        folded = F.try_element_at(F.map_values(F.map_filter(as_map, _key_is(key))), F.lit(1))
+        out[name] = F.coalesce(exact, folded)
+    return out
+
+
+def answer_kinds(v: Column, fields: dict[str, Column] | None = None) -> dict[str, Column]:
     """JSON kind of the whole body (``_top``) and of each decoded key."""
+    fields = fields or answer_fields(v)
     kinds = {"_top": _kind(v)}
-    for name, key in {**TEXT_KEYS, **NUMBER_KEYS}.items():
-        kinds[name] = _kind(F.variant_get(v, f"$.{key}", "variant"))
+    for name, sub in fields.items():
+        kinds[name] = _kind(sub)
     return kinds
 
 
@@ -75,14 +95,14 @@ def answer_error(status_code: Column, v: Column, kinds: dict[str, Column]) -> Co
     )
 
 
-def answer_values(v: Column, kinds: dict[str, Column]) -> dict[str, Column]:
+def answer_values(fields: dict[str, Column], kinds: dict[str, Column]) -> dict[str, Column]:
     """Decoded attributes: value of the right kind, else ``''`` / ``0.0``."""
     out = {}
-    for name, key in TEXT_KEYS.items():
-        out[name] = F.when(kinds[name] == '"', F.try_variant_get(v, f"$.{key}", "string")).otherwise(F.lit(""))
-    for name, key in NUMBER_KEYS.items():
+    for name in TEXT_KEYS:
+        out[name] = F.when(kinds[name] == '"', F.try_variant_get(fields[name], "$", "string")).otherwise(F.lit(""))
+    for name in NUMBER_KEYS:
         is_num = kinds[name].isin(*_NUMBER_START)
-        out[name] = F.when(is_num, F.try_variant_get(v, f"$.{key}", "double")).otherwise(F.lit(0.0))
+        out[name] = F.when(is_num, F.try_variant_get(fields[name], "$", "double")).otherwise(F.lit(0.0))
     return out
 
 
@@ -93,9 +113,10 @@ def decode_geo_answer(status_code: Column, v: Column) -> Column:
     the same in stages (parse, kinds, error, values) so that each part is
     evaluated once per answer. On error the attributes are NULL.
     """
-    kinds = answer_kinds(v)
+    fields = answer_fields(v)
+    kinds = answer_kinds(v, fields)
     error = answer_error(status_code, v, kinds)
-    values = answer_values(v, kinds)
+    values = answer_values(fields, kinds)
     ok = error.isNull()
     fields = [F.when(ok, values[n]).alias(n) for n in (*TEXT_KEYS, *NUMBER_KEYS)]
     return F.struct(*fields, error.alias("geo_error"))

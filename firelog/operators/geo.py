@@ -36,15 +36,18 @@ def geo_candidates(seen: DataFrame, geo: DataFrame) -> DataFrame:
 def decode_answers(answers: DataFrame) -> DataFrame:
     """Answers with the decoded attributes and ``geo_error`` added.
 
-    Staged: the body is parsed once into a VARIANT, then the JSON kind of
-    each key, then the error, then the values -- each its own projection.
+    Staged: the body is parsed once into a VARIANT, then the value of each
+    key, its JSON kind, the error, the attributes -- each its own projection.
     """
     parsed = answers.withColumn("_v", J.parse_body(F.col("body")))
-    kinds = J.answer_kinds(F.col("_v"))
-    with_kinds = parsed.select("*", *[k.alias(f"_k{n}") for n, k in kinds.items()])
+    subs = J.answer_fields(F.col("_v"))
+    with_subs = parsed.select("*", *[c.alias(f"_f{n}") for n, c in subs.items()])
+    fcols = {n: F.col(f"_f{n}") for n in subs}
+    kinds = J.answer_kinds(F.col("_v"), fcols)
+    with_kinds = with_subs.select("*", *[k.alias(f"_k{n}") for n, k in kinds.items()])
     kcols = {n: F.col(f"_k{n}") for n in kinds}
     with_err = with_kinds.withColumn("geo_error", J.answer_error(F.col("status_code"), F.col("_v"), kcols))
-    values = J.answer_values(F.col("_v"), kcols)
+    values = J.answer_values(fcols, kcols)
     ok = F.col("geo_error").isNull()
     return with_err.select(
         *answers.columns,

@@ -86,3 +86,17 @@ def test_fetch_streams_answers_through_broadcast_semi_join(spark):
     assert {r.ip: r.geo_error for r in f.collect()} == {"10.0.0.2": None, "10.0.0.3": "no answer"}
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("body,expected", [
+    ('{"Country":"US","REGIONNAME":"CA","City":"A","ISP":"x","Lat":1.5,"LON":-2}', ("US", "CA", "A", "x", 1.5, -2.0)),
+    ('{"country":"exact","COUNTRY":"other"}', ("exact", "", "", "", 0.0, 0.0)),
+])
+def test_decode_keys_case_insensitive(spark, body, expected):
+    r = decode(spark, 200, body)
+    assert r["geo_error"] is None
+    assert tuple(r[c] for c in ("country", "region", "city", "isp", "latitude", "longitude")) == expected
+
+
+def test_decode_case_insensitive_wrong_type(spark):
+    assert decode(spark, 200, '{"Lat":"north"}')["geo_error"] == "wrong json type"
