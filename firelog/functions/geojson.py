@@ -53,14 +53,21 @@ def _key_is(key: str):
     return lambda k, _: F.lower(k) == low
 
 
-def answer_fields(v: Column) -> dict[str, Column]:
+def answer_fields(v: Column, body: Column | None = None) -> dict[str, Column]:
     """The JSON value (VARIANT) of each decoded key: exact key, else the key
-    that equals it ignoring case; NULL when absent."""
+    that equals it ignoring case; NULL when absent.
+
+    With ``body`` (the JSON text) the case-insensitive search runs only for
+    answers whose text contains the key in another spelling.
+    """
     out = {}
     for name, key in {**TEXT_KEYS, **NUMBER_KEYS}.items():
         exact = F.variant_get(v, f"$.{key}", "variant")
         as_map = F.try_variant_get(v, "$", "map<string,variant>")
         folded = F.try_element_at(F.map_values(F.map_filter(as_map, _key_is(key))), F.lit(1))
+        if body is not None:
+            quoted = f'"{key.lower()}"'
+            folded = F.when(F.lower(body).contains(quoted), folded)
         out[name] = F.coalesce(exact, folded)
     return out
 

@@ -40,7 +40,7 @@ def decode_answers(answers: DataFrame) -> DataFrame:
     key, its JSON kind, the error, the attributes -- each its own projection.
     """
     parsed = answers.withColumn("_v", J.parse_body(F.col("body")))
-    subs = J.answer_fields(F.col("_v"))
+    subs = J.answer_fields(F.col("_v"), F.col("body"))
     with_subs = parsed.select("*", *[c.alias(f"_f{n}") for n, c in subs.items()])
     fcols = {n: F.col(f"_f{n}") for n in subs}
     kinds = J.answer_kinds(F.col("_v"), fcols)
