@@ -87,14 +87,15 @@ def dedupe_batch(rows: DataFrame, order: str = "newest", order_col: str = "line_
 def restrict_store_to(store: DataFrame, batch: DataFrame) -> DataFrame:
     """Store rows on the dates covered by ``batch`` (runtime partition pruning).
 
-    The bounds are scalar subqueries, so when ``store`` is partitioned by
+    The bounds are one scalar subquery (min and max in one pass over the
+    batch), so when ``store`` is partitioned by
     ``log_date`` only the partitions between the batch's first and last date
     are listed and read. Use on a materialised batch (a subquery re-runs the
     batch plan).
     """
-    lo = batch.select(F.min(S.LOG_PARTITION)).scalar()
-    hi = batch.select(F.max(S.LOG_PARTITION)).scalar()
-    return store.where(F.col(S.LOG_PARTITION).between(lo, hi))
+    day = F.col(S.LOG_PARTITION)
+    bounds = batch.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    return store.where(day.between(bounds.getField("lo"), bounds.getField("hi")))
 
 
 def insert_if_absent(rows: DataFrame, store: DataFrame | None = None, order: str = "newest",
