@@ -70,3 +70,44 @@ def test_runtime_partition_pruning(spark, tmp_dir):
         pruned.explain("formatted")
     assert re.search(r"PartitionFilters: \[[^\n]*Subquery", buf.getvalue())
     assert pruned.select(F.countDistinct(S.LOG_PARTITION)).first()[0] == 3
+
+
+def test_hot_address_join_is_split_when_not_broadcast(spark):
+    import datetime as dt
+
+    from firelog.operators.report import enriched_logs
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        rows = [(dt.datetime(2025, 1, 1) + dt.timedelta(seconds=i),
+                 "10.0.0.1" if i % 3 == 0 else f"10.1.{(i // 256) % 256}.{i % 256}",
+                 "192.0.2.2", "TCP", i % 60000, 80, "DROP", "PORTSCAN", 40, 64, dt.date(2025, 1, 1))
+                for i in range(n)]
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.LOG_SCHEMA.fields) + ", log_date date"
+        store = spark.createDataFrame(rows, schema).repartition(8)
+        geo = spark.createDataFrame([("10.0.0.1", "US", "", "A", "", 0.0, 0.0, None)]
+                                    + [(f"10.1.{j // 256}.{j % 256}", "X", "", "", "", 0.0, 0.0, None)
+                                       for j in range(256 * 4)], S.GEO_SCHEMA)
+        out = enriched_logs(store, geo)
+        got = out.collect()
+        assert len(got) == n
+        assert sum(r.city == "A" for r in got) == (n + 2) // 3
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "skew=true" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
