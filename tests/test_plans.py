@@ -78,6 +78,7 @@ def test_hot_address_join_is_split_when_not_broadcast(spark):
     from firelog.operators.report import enriched_logs
 
     conf = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
