@@ -43,7 +43,8 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     """Ingest one batch of ``(line_no, line)`` into the store at ``store_path``.
 
     Returns the run counters (lines_read, malformed, benign, flagged,
-    errors, inserted, duplicates) and ``staging`` (path of the flagged rows,
+    errors, inserted, duplicates -- all observed while the staging table and
+    the store are written, no extra pass) and ``staging`` (path of the flagged rows,
     used by the enrichment step; kept when ``keep_staging``).
     """
     configure(spark)
@@ -58,6 +59,13 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
         F.count_if(cls == "flagged").alias("flagged"),
     )
     rows = fence(I.to_store_rows(parsed.where(cls == "flagged").drop("line_class")))
+    reject = F.col("reject_reason")
+    obs_rows = Observation("firelog_rows")
+    rows = rows.observe(
+        obs_rows,
+        F.count_if(reject.isNotNull()).alias("errors"),
+        F.count_if(reject.isNull()).alias("accepted"),
+    )
 
     staging = scratch_path(spark, "firelog-staging")
     rows.write.mode("errorifexists").parquet(staging)
@@ -78,10 +86,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     TB.refresh_day_index(spark, store_path, acc.select(F.min(day)).scalar(), acc.select(F.max(day)).scalar())
 
     counts = dict(obs_lines.get)
-    totals = staged.agg(
-        F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
-        F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
-    ).first()
+    totals = obs_rows.get
     counts["errors"] = totals["errors"]
     counts["inserted"] = obs_new.get.get("inserted", 0)
     counts["duplicates"] = totals["accepted"] - counts["inserted"]
