@@ -13,9 +13,14 @@ def ensure_parallelism(df: DataFrame, key: str, min_partitions: int | None = Non
     on one core. Only then the lines are shuffled once on ``key`` (a stable
     hash, so a re-run task gets the same rows). A normal large scan has far
     more splits than cores and is left untouched: no shuffle of raw input.
+    Call it on a scan (plus narrow projections): asking for the split count
+    of a plan with shuffles would run them.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan, runs no job
+    except Exception:  # no RDD access (e.g. a remote session): keep the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, key)
