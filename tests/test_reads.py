@@ -77,3 +77,13 @@ def test_database_size(spark, tmp_dir):
     row = ST.database_size(stats).first()
     assert row.size_bytes == stats.first().size_bytes > 0
     assert row.database_size.endswith(("bytes", "kB", "MB"))
+
+
+def test_logs_page_null_action_is_returned(spark):
+    df = store(spark, 3)
+    from pyspark.sql import functions as F
+
+    with_null = df.withColumn("action", F.when(F.col("source_ip") == "10.0.0.0", None).otherwise(F.col("action")))
+    page = R.logs_page(with_null, limit=10).collect()
+    assert len(page) == 3
+    assert [r.action for r in page if r.source_ip == "10.0.0.0"] == [None]
