@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--geo-in")
     p.add_argument("--geo-out")
     p.add_argument("--as-of")
+    p.add_argument("--flagged-only", action="store_true",
+                   help="parse only lines that pass the flag test (benign/malformed not counted)")
 
     p = sub.add_parser("stream")
     p.add_argument("--source", required=True)
@@ -92,9 +94,10 @@ def main(argv: list[str] | None = None) -> int:
                 ap.error("--answers needs --geo-out and --as-of")
             answers = read_geo_answers(spark, args.answers, args.answers_format)
             counts = B.run(spark, args.logs, args.store, answers, args.geo_in, args.geo_out, args.as_of,
-                           order, args.rejects)
+                           order, args.rejects, classify_all=not args.flagged_only)
         else:
-            counts = B.run_ingest(spark, args.logs, args.store, order, args.rejects)
+            counts = B.run_ingest(spark, args.logs, args.store, order, args.rejects,
+                                  classify_all=not args.flagged_only)
         _print_rows(B.summary_frame(spark, counts))
     elif args.cmd == "stream":
         from firelog.streaming.ingest_stream import run_ingest_stream

@@ -26,7 +26,7 @@ from firelog import schemas as S
 from firelog.operators import geo as G
 from firelog.operators import ingest as I
 from firelog.operators.fence import fence
-from firelog.operators.triage import parse_lines
+from firelog.operators.triage import flagged_candidates, parse_lines
 from firelog.session import configure, scratch_path
 from firelog.sources import tables as TB
 from firelog.sources.lines import read_log_lines
@@ -39,26 +39,40 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order: str = "newest",
-                 rejects_path: str | None = None, keep_staging: bool = False) -> dict[str, int]:
+                 rejects_path: str | None = None, keep_staging: bool = False,
+                 classify_all: bool = True) -> dict[str, int]:
     """Ingest one batch of ``(line_no, line)`` into the store at ``store_path``.
 
     Returns the run counters (lines_read, malformed, benign, flagged,
     errors, inserted, duplicates -- all observed while the staging table and
-    the store are written, no extra pass) and ``staging`` (path of the flagged rows,
-    used by the enrichment step; kept when ``keep_staging``).
+    the store are written, no extra pass) and ``staging`` (path of the
+    flagged rows, used by the enrichment step; kept when ``keep_staging``).
+
+    ``classify_all=False`` skips the regex searches on lines that fail the
+    cheap flag test: the store is the same, ``lines_read`` and ``flagged``
+    are still counted, but benign and malformed are not told apart (both
+    reported as None). On logs where few lines are threats this removes most
+    of the per-line work.
     """
     configure(spark)
-    parsed = parse_lines(lines)
     cls = F.col("line_class")
     obs_lines = Observation("firelog_lines")
-    parsed = parsed.observe(
-        obs_lines,
-        F.count(F.lit(1)).alias("lines_read"),
-        F.count_if(cls == "malformed").alias("malformed"),
-        F.count_if(cls == "benign").alias("benign"),
-        F.count_if(cls == "flagged").alias("flagged"),
-    )
-    rows = fence(I.to_store_rows(parsed.where(cls == "flagged").drop("line_class")))
+    if classify_all:
+        parsed = parse_lines(lines).observe(
+            obs_lines,
+            F.count(F.lit(1)).alias("lines_read"),
+            F.count_if(cls == "malformed").alias("malformed"),
+            F.count_if(cls == "benign").alias("benign"),
+            F.count_if(cls == "flagged").alias("flagged"),
+        )
+    else:
+        counted = lines.observe(obs_lines, F.count(F.lit(1)).alias("lines_read"))
+        parsed = parse_lines(flagged_candidates(counted))
+    flagged_rows = parsed.where(cls == "flagged").drop("line_class")
+    obs_flagged = Observation("firelog_flagged")
+    if not classify_all:
+        flagged_rows = flagged_rows.observe(obs_flagged, F.count(F.lit(1)).alias("flagged"))
+    rows = fence(I.to_store_rows(flagged_rows))
     reject = F.col("reject_reason")
     obs_rows = Observation("firelog_rows")
     rows = rows.observe(
@@ -86,6 +100,8 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     TB.refresh_day_index(spark, store_path, acc.select(F.min(day)).scalar(), acc.select(F.max(day)).scalar())
 
     counts = dict(obs_lines.get)
+    if not classify_all:
+        counts.update(flagged=obs_flagged.get.get("flagged", 0), malformed=None, benign=None)
     totals = obs_rows.get
     counts["errors"] = totals["errors"]
     counts["inserted"] = obs_new.get.get("inserted", 0)
@@ -99,9 +115,10 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
 
 
 def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str, order: str = "newest",
-               rejects_path: str | None = None) -> dict[str, int]:
+               rejects_path: str | None = None, classify_all: bool = True) -> dict[str, int]:
     """Read log text files and ingest them (see module docstring)."""
-    counts, _ = ingest_lines(spark, read_log_lines(spark, log_path), store_path, order, rejects_path)
+    counts, _ = ingest_lines(spark, read_log_lines(spark, log_path), store_path, order, rejects_path,
+                             classify_all=classify_all)
     return counts
 
 
@@ -138,10 +155,10 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
 
 def run(spark: SparkSession, log_path: str | list[str], store_path: str, answers: DataFrame,
         geo_in: str | None, geo_out: str, as_of: str, order: str = "newest",
-        rejects_path: str | None = None) -> dict[str, int]:
+        rejects_path: str | None = None, classify_all: bool = True) -> dict[str, int]:
     """Ingest + enrichment; returns all run counters."""
     counts, staged = ingest_lines(spark, read_log_lines(spark, log_path), store_path, order,
-                                  rejects_path, keep_staging=True)
+                                  rejects_path, keep_staging=True, classify_all=classify_all)
     staging = counts.pop("staging")
     counts.update(run_enrichment(spark, staged, geo_in, answers, geo_out, as_of))
     _delete(spark, staging)
@@ -152,7 +169,7 @@ def summary_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     """Counters as ``(metric, value)`` rows in summary order."""
     from firelog.operators.report import RUN_METRICS
 
-    rows = [(m, int(counts[m])) for m in RUN_METRICS if m in counts]
+    rows = [(m, None if counts[m] is None else int(counts[m])) for m in RUN_METRICS if m in counts]
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 

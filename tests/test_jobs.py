@@ -165,3 +165,18 @@ def test_day_index_tracks_store(spark, tmp_dir):
     assert idx == st == {"2025-01-01": 3, "2025-01-02": 3, "2025-01-03": 4, "2025-01-04": 1}
     page = RPT.logs_page(spark, store, 3, 1).collect()
     assert [r.timestamp for r in page] == ["2025-01-03T00:00:09Z", "2025-01-03T00:00:02Z", "2025-01-03T00:00:01Z"]
+
+
+def test_flagged_only_ingest_gives_same_store(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    write_text(src, "a.log", [mk("2025-01-05T00:00:01-05:00", ttl=1), mk("2025-01-05T00:00:01+01:00", ttl=2),
+                              mk("2025-01-06T00:00:00Z", reason="WHITELIST"), "garbage", "",
+                              mk("2024-13-45T00:00:00Z")])
+    full = B.run_ingest(spark, src, f"{tmp_dir}/s1")
+    fast = B.run_ingest(spark, src, f"{tmp_dir}/s2", classify_all=False)
+    for k in ("lines_read", "flagged", "errors", "inserted", "duplicates"):
+        assert full[k] == fast[k], k
+    assert fast["benign"] is None and fast["malformed"] is None
+    a = sorted(tuple(r) for r in TB.read_log_store(spark, f"{tmp_dir}/s1").collect())
+    b = sorted(tuple(r) for r in TB.read_log_store(spark, f"{tmp_dir}/s2").collect())
+    assert a == b and len(a) == 1
