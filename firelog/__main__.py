@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--store", required=True)
     p.add_argument("--checkpoint")
     p.add_argument("--oldest-first", action="store_true")
+    p.add_argument("--flagged-only", action="store_true")
 
     p = sub.add_parser("page")
     p.add_argument("--store", required=True)
@@ -103,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
         from firelog.streaming.ingest_stream import run_ingest_stream
 
         for c in run_ingest_stream(spark, args.source, args.store, checkpoint_location=args.checkpoint,
-                                   order=order):
+                                   order=order, classify_all=not args.flagged_only):
             print(json.dumps(c, default=str))
     elif args.cmd == "page":
         from firelog.plans.reports import logs_page

@@ -34,11 +34,13 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
                         checkpoint_location: str | None = None, order: str = "newest",
                         rejects_path: str | None = None, available_now: bool = True,
                         processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        classify_all: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
     ``checkpoint_location`` defaults to a new folder under the session's
-    shared checkpoint folder (``spark.checkpoint.dir``).
+    shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all``
+    as in ``firelog.plans.batch.ingest_lines``.
     """
     configure(spark)
     ckpt = checkpoint_location or scratch_path(spark, "firelog-stream-ckpt")
@@ -49,7 +51,8 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
         # numbered first (positions follow the file splits), then spread if
         # the micro-batch came in as a few large splits
         numbered = ensure_parallelism(_number_lines(batch), "line_no")
-        counts, _ = ingest_lines(batch.sparkSession, numbered, store_path, order, rejects_path)
+        counts, _ = ingest_lines(batch.sparkSession, numbered, store_path, order, rejects_path,
+                                 classify_all=classify_all)
         counts["batch_id"] = batch_id
         counters.append(counts)
 
