@@ -27,15 +27,21 @@ def _store_read_schema():
     return T.StructType([*S.LOG_SCHEMA.fields, T.StructField(S.LOG_PARTITION, T.DateType(), True)])
 
 
-def append_log_store(new_rows: DataFrame, path: str) -> None:
+# Rows per output file (~100-200 MB of store rows): a task holding many rows
+# of one day rolls over to a new file instead of writing one huge file.
+MAX_ROWS_PER_FILE = 2_000_000
+
+
+def append_log_store(new_rows: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
     """Append rows to the store, one directory per day.
 
-    Rows are clustered by day before the write so each task writes few
-    files per day.
+    Rows are clustered by day (and time, for min/max statistics per file)
+    before the write so each task writes few files per day.
     """
     (new_rows.select(*S.LOG_COLUMNS, S.LOG_PARTITION)
      .sortWithinPartitions(S.LOG_PARTITION, "timestamp")
-     .write.mode("append").partitionBy(S.LOG_PARTITION).parquet(path))
+     .write.mode("append").option("maxRecordsPerFile", max_rows_per_file)
+     .partitionBy(S.LOG_PARTITION).parquet(path))
 
 
 DAY_INDEX = "_days"
