@@ -55,6 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--as-of")
     p.add_argument("--flagged-only", action="store_true",
                    help="parse only lines that pass the flag test (benign/malformed not counted)")
+    p.add_argument("--keep-long-lines", action="store_true",
+                   help="process lines over 64 KiB instead of failing the run")
 
     p = sub.add_parser("stream")
     p.add_argument("--source", required=True)
@@ -95,10 +97,12 @@ def main(argv: list[str] | None = None) -> int:
                 ap.error("--answers needs --geo-out and --as-of")
             answers = read_geo_answers(spark, args.answers, args.answers_format)
             counts = B.run(spark, args.logs, args.store, answers, args.geo_in, args.geo_out, args.as_of,
-                           order, args.rejects, classify_all=not args.flagged_only)
+                           order, args.rejects, classify_all=not args.flagged_only,
+                           long_lines="keep" if args.keep_long_lines else "fail")
         else:
             counts = B.run_ingest(spark, args.logs, args.store, order, args.rejects,
-                                  classify_all=not args.flagged_only)
+                                  classify_all=not args.flagged_only,
+                                  long_lines="keep" if args.keep_long_lines else "fail")
         _print_rows(B.summary_frame(spark, counts))
     elif args.cmd == "stream":
         from firelog.streaming.ingest_stream import run_ingest_stream

@@ -115,10 +115,15 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
 
 
 def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str, order: str = "newest",
-               rejects_path: str | None = None, classify_all: bool = True) -> dict[str, int]:
-    """Read log text files and ingest them (see module docstring)."""
-    counts, _ = ingest_lines(spark, read_log_lines(spark, log_path), store_path, order, rejects_path,
-                             classify_all=classify_all)
+               rejects_path: str | None = None, classify_all: bool = True,
+               long_lines: str = "fail") -> dict[str, int]:
+    """Read log text files and ingest them (see module docstring).
+
+    ``long_lines='keep'`` processes lines beyond 64 KiB instead of failing
+    the run on the first one.
+    """
+    lines = read_log_lines(spark, log_path, long_lines=long_lines)
+    counts, _ = ingest_lines(spark, lines, store_path, order, rejects_path, classify_all=classify_all)
     return counts
 
 
@@ -155,10 +160,12 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
 
 def run(spark: SparkSession, log_path: str | list[str], store_path: str, answers: DataFrame,
         geo_in: str | None, geo_out: str, as_of: str, order: str = "newest",
-        rejects_path: str | None = None, classify_all: bool = True) -> dict[str, int]:
+        rejects_path: str | None = None, classify_all: bool = True,
+        long_lines: str = "fail") -> dict[str, int]:
     """Ingest + enrichment; returns all run counters."""
-    counts, staged = ingest_lines(spark, read_log_lines(spark, log_path), store_path, order,
-                                  rejects_path, keep_staging=True, classify_all=classify_all)
+    lines = read_log_lines(spark, log_path, long_lines=long_lines)
+    counts, staged = ingest_lines(spark, lines, store_path, order, rejects_path, keep_staging=True,
+                                  classify_all=classify_all)
     staging = counts.pop("staging")
     counts.update(run_enrichment(spark, staged, geo_in, answers, geo_out, as_of))
     _delete(spark, staging)

@@ -180,3 +180,14 @@ def test_flagged_only_ingest_gives_same_store(spark, tmp_dir):
     a = sorted(tuple(r) for r in TB.read_log_store(spark, f"{tmp_dir}/s1").collect())
     b = sorted(tuple(r) for r in TB.read_log_store(spark, f"{tmp_dir}/s2").collect())
     assert a == b and len(a) == 1
+
+
+def test_run_ingest_keeps_long_lines_on_request(spark, tmp_dir):
+    import pytest
+
+    src = f"{tmp_dir}/in"
+    write_text(src, "a.log", [mk("2025-01-05T00:00:01Z") + " " + "x" * 70000])
+    with pytest.raises(Exception):
+        B.run_ingest(spark, src, f"{tmp_dir}/s1")
+    c = B.run_ingest(spark, src, f"{tmp_dir}/s2", long_lines="keep")
+    assert (c["lines_read"], c["inserted"]) == (1, 1)
