@@ -1,0 +1,47 @@
+"""Registered queries of the operators: each over its whole table with production parameters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from firelog.llm import langid, sentencepiece, tokens, toxicity
+from firelog.llm.common import read_table
+
+
+def _part(id_col: str, n: int):
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
+
+
+def op1_sentencepiece(spark, sf_dir):
+    """Ids of every whole text and whether they decode to it."""
+    return sentencepiece.encode(read_table(spark, sf_dir, "documents"))
+
+
+def op2_language(spark, sf_dir):
+    """Language of every whole text; prototypes from four fifths of the rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    prototypes = langid.train(docs.where(_part("doc_id", 5) != 0))
+    return langid.identify(docs, prototypes).select(
+        "doc_id", (F.coalesce(_part("doc_id", 5), F.lit(-1)) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every whole text; trained on labelled rows of two thirds of the ids."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    texts, y = toxicity.labelled_sample(docs, labels, _part("doc_id", 3) != 1)
+    return toxicity.score(docs, toxicity.train_model(texts, y)).select(
+        "doc_id", (F.coalesce(_part("doc_id", 3), F.lit(-1)) == 1).alias("held_out"), "score", "predicted")
+
+
+def op10_token_counts(spark, sf_dir):
+    """Token counts of every whole text."""
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
+    "op10_token_counts": op10_token_counts,
+}
+ORACLE_SQL: dict[str, str] = {}
