@@ -268,6 +268,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm_queries() -> tuple[dict, dict]:
+    """Queries and oracle SQL of the training-data operators; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from firelog.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "firelog.llm"):
+            raise
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE_SQL)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: lines -> triage -> ingest -> enrich -> per-address summary."""
     return queries()["ip_summary"](spark, SMOKE_DIR)
@@ -284,10 +300,10 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _configured(fn) for name, fn in _QUERIES.items()}
+    return {name: _configured(fn) for name, fn in {**_QUERIES, **_llm_queries()[0]}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import build_all
 
-    return build_all()
+    return {**build_all(), **_llm_queries()[1]}
