@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from firelog.llm import langid, sentencepiece, tokens, toxicity
+from firelog.llm import fingerprint, langid, mixing, pii, sentencepiece, tokens, toxicity
 from firelog.llm.common import read_table
 
 
@@ -33,6 +33,22 @@ def op3_toxicity(spark, sf_dir):
         "doc_id", (F.coalesce(_part("doc_id", 3), F.lit(-1)) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_pii(spark, sf_dir):
+    """Personal data of every whole text."""
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.train(docs))
+
+
+def op5_mixing(spark, sf_dir):
+    """How many words of every document the mix takes."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark, sf_dir):
+    """Fingerprints of every whole text and of its edited text."""
+    return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     """Token counts of every whole text."""
     return tokens.token_counts(read_table(spark, sf_dir, "documents"))
@@ -42,6 +58,9 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
     "op3_toxicity": op3_toxicity,
+    "op4_pii": op4_pii,
+    "op5_mixing": op5_mixing,
+    "op8_fingerprints": op8_fingerprints,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}
