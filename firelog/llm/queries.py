@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from firelog.llm import fingerprint, langid, mixing, pii, sentencepiece, tokens, toxicity
+from firelog.llm import fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, toxicity
 from firelog.llm.common import read_table
 
 
@@ -49,6 +49,11 @@ def op8_fingerprints(spark, sf_dir):
     return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark, sf_dir):
+    """Near-duplicate components of every whole text."""
+    return jaccard.join(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_token_counts(spark, sf_dir):
     """Token counts of every whole text."""
     return tokens.token_counts(read_table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op8_fingerprints": op8_fingerprints,
+    "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}
