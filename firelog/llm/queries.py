@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from firelog.llm import fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, toxicity
+from firelog.llm import fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, topk, toxicity
 from firelog.llm.common import read_table
 
 
@@ -44,6 +44,12 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark, sf_dir):
+    """The five best vectors of every fiftieth one."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(table, F.col("vec_id") % 50 == 0)
+
+
 def op8_fingerprints(spark, sf_dir):
     """Fingerprints of every whole text and of its edited text."""
     return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
@@ -65,8 +71,22 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
+    "op7_top_k": op7_top_k,
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
+}
