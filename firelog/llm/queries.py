@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from firelog.llm import fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, topk, toxicity
+from firelog.llm import extract_html, fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, topk, toxicity
 from firelog.llm.common import read_table
 
 
@@ -44,6 +44,11 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark, sf_dir):
+    """Main text of every page."""
+    return extract_html.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_top_k(spark, sf_dir):
     """The five best vectors of every fiftieth one."""
     table = read_table(spark, sf_dir, "embeddings")
@@ -71,6 +76,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
+    "op6_main_text": op6_main_text,
     "op7_top_k": op7_top_k,
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard": op9_jaccard,
