@@ -20,7 +20,9 @@ A list is never expanded into pairs. Its members are checked against one
 leader; whoever links joins the leader's component, and only lists that
 still hold several components go on: small ones pair the members of different
 components, large ones take further leaders, until every pair of members is
-either checked or inside one component. Checks intersect the whole sets.
+either checked or inside one component. A check first compares the parity
+sketches of two sets (their difference is at least the number of differing
+bits, so what it rejects cannot link) and then intersects the whole sets.
 Lists of frequent shingles are split by a salt, and joined again by their
 shingle in the later rounds.
 """
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, runs, stored
+from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, runs, sliced, small_batches, stored
 
 WIDTH = 5
 # Similarity 0.8 as a fraction.
@@ -52,6 +54,8 @@ SALT_ROWS = 2000
 # Lists up to this size pair their members at once; in larger ones so many leaders per round.
 SMALL_LIST = 48
 LEADERS = 16
+# 64-bit words of the parity sketch.
+SKETCH = 8
 # Bits of the filter that tells which texts are read again for a check.
 FILTER_BITS = 1 << 23
 _NO_ID = -(1 << 63)
@@ -121,6 +125,12 @@ def class_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity_sketch(tokens: np.ndarray) -> list[int]:
+    """Parity of the number of shingles in each of 64 * SKETCH cells."""
+    cells = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
+
+
 def subset_keys(tokens: np.ndarray, boundary: int) -> list[int]:
     n, keys = len(tokens), []
     for m in partner_sizes(n):
@@ -154,30 +164,31 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.nd
 
 
 def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary: int) -> DataFrame:
-    """``(doc_id, n, cid, keys)``: class, set size, and the class's list and subset keys (once per task, else null)."""
+    """``(doc_id, n, cid, sketch, keys)``: class, set size, and the class's sketch and its list and subset keys (once per task, else null)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MAX_FREQUENT entries
 
     def run(batches):
-        from firelog.llm.common import sliced
-
         seen: set[int] = set()  # classes of this task
         often, weight = shared.value
         for whole in batches:
             for batch in sliced(whole, 1):
                 sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()])
-                cids, keys = [], []
+                cids, keys, sketches = [], [], []
                 for s in sets:
                     n = len(s)
                     if not n:
                         cids.append(None)
                         keys.append(None)
+                        sketches.append(None)
                         continue
                     c = class_id(s)
                     cids.append(c)
                     if c in seen:
                         keys.append(None)
+                        sketches.append(None)
                         continue
                     seen.add(c)
+                    sketches.append(parity_sketch(s))
                     own = subset_keys(s, boundary) if partner_sizes(n)[0] <= boundary else []
                     if n > boundary:
                         if len(often):
@@ -192,12 +203,11 @@ def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bounda
                     keys.append(own)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "cid", "keys"])
-
-    from firelog.llm.common import small_batches
+                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "cid", "sketch", "keys"])
 
     small_batches(docs.sparkSession)
-    return stored(docs.mapInArrow(run, "doc_id long, n long, cid long, keys array<long>"), "jaccard-sets")
+    return stored(docs.mapInArrow(run, "doc_id long, n long, cid long, sketch array<long>, keys array<long>"), "jaccard-sets")
 
 
 def _fits(a: str, b: str):
@@ -218,39 +228,53 @@ def _class_filter(ids: DataFrame):
 class _Checker:
     """Exact checks of candidate pairs of classes."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame):
-        self.docs, self.classes = docs, classes
+    def __init__(self, docs: DataFrame, classes: DataFrame, sketches: DataFrame):
+        self.docs, self.classes, self.sketches = docs, classes, sketches
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b) whose sketches allow a link."""
+        own = self.sketches
+        both = (pairs.join(own.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
+                .join(own.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"))
+        apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0))
+        total = F.col("na") + F.col("nb")
+        return both.where(apart <= total - 2 * F.ceil(total * NUM / (NUM + DEN))).select("a", "b")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of ``pairs`` (a, b), each pair once."""
+    def links(self, pairs: DataFrame) -> DataFrame | None:
+        """The linked ones of ``pairs`` (a, b); some may be repeated."""
         spark = pairs.sparkSession
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(self.classes, "cid").select("cid", "rep"), "jaccard-ids")
+        pairs = stored(self.possible(pairs), "jaccard-possible")
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(self.classes, "cid").select("rep"), "jaccard-ids")
+        if ids.limit(1).count() == 0:
+            return None
         shared = spark.sparkContext.broadcast(_class_filter(ids))
 
-        def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            spot = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            hit = (shared.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
-            if not hit.any():
-                return None
-            few = batch.filter(pa.array(hit.astype(bool)))
-            sets = shingle_sets([t or "" for t in few.column(1).to_pylist()])
-            full = [s for s in sets if len(s)]
-            lengths = np.array([len(s) for s in full], np.int64)
-            flat = np.concatenate(full).view(np.int64) if full else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r for r, s in zip(few.column(0).to_pylist(), sets, strict=True) if len(s)], pa.int64()),
-                 pa.array([class_id(s) for s in full], pa.int64()), list_array(flat, lengths, pa.int64())],
-                names=["rep", "cid", "tokens"])
-
-        spotted = self.docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"), "text").withColumn(
-            "spot", F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)))
-        sets = map_slices(spotted, "text", sets_of, "rep long, cid long, tokens array<long>")
-        sets = stored(sets.join(ids, ["rep", "cid"], "left_semi").dropDuplicates(["cid"]), "jaccard-tokens")
-        left = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
-        right = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
-        both = pairs.join(right, "b").join(left, "a")
-        common = F.size(F.array_intersect("ta", "tb"))
-        ok = common * (NUM + DEN) >= (F.size("ta") + F.size("tb")) * NUM
+        def sets_of(batches):
+            seen: set[int] = set()
+            for whole in batches:
+                for batch in sliced(whole, 0):
+                    spot = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                    hit = (shared.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
+                    if not hit.any():
+                        continue
+                    new = []
+                    for s in shingle_sets([t or "" for t in batch.column(0).filter(pa.array(hit.astype(bool))).to_pylist()]):
+                        if len(s) and (c := class_id(s)) not in seen:
+                            seen.add(c)
+                            new.append((c, s))
+                    lengths = np.array([len(s) for _, s in new], np.int64)
+                    flat = np.concatenate([s for _, s in new]).view(np.int64) if new else np.zeros(0, np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c for c, _ in new], pa.int64()), list_array(flat, lengths, pa.int64())], names=["cid", "tokens"])
+
+        spotted = self.docs.select("text", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(_NO_ID))), F.lit(FILTER_BITS)).alias("spot"))
+        small_batches(spark)
+        sets = spotted.mapInArrow(sets_of, "cid long, tokens array<long>")
+        # both sides read one shuffle of the sets
+        both = (pairs.join(sets.alias("y"), F.col("b") == F.col("y.cid")).select("a", "b", F.col("y.tokens").alias("tb"))
+                .join(sets.alias("x"), F.col("a") == F.col("x.cid")))
+        common = F.size(F.array_intersect("x.tokens", "tb"))
+        ok = common * (NUM + DEN) >= (F.size("x.tokens") + F.size("tb")) * NUM
         return stored(both.where(ok).select("a", "b"), "jaccard-links")
 
 
@@ -309,12 +333,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     hot = np.flatnonzero(weight > SALT_ROWS)
     names = [(int(k), int(often[i].view(np.int64))) for i in hot for k in
              salted(np.repeat(often[i], -(-weight[i] // SALT_ROWS)), np.arange(1, -(-weight[i] // SALT_ROWS) + 1)).view(np.int64)]
-    checker = _Checker(rows, classes)
+    sketches = table.where("sketch is not null").select("cid", "n", "sketch").dropDuplicates(["cid"])
+    checker = _Checker(rows, classes, stored(sketches, "jaccard-sketches"))
     order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     tested = stored(lists.where((F.col("cid") != F.col("lead")) & _fits("n", "lead_n"))
                     .select(F.col("lead").alias("a"), F.col("cid").alias("b")).select(*order).distinct(), "jaccard-pairs")
     links = checker.links(tested)
-    labels = components(links)
+    labels = None if links is None else components(links)
     open_ = lists.select("key", "cid", "n")
     if names:
         back = spark.createDataFrame(names, "key long, shingle long")
@@ -340,12 +365,37 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         leaders *= 2
         if pairs.limit(1).count() == 0:
             continue
-        links = links.unionByName(checker.links(pairs))
         tested = tested.unionByName(pairs)
-        labels = components(links)
+        more = checker.links(pairs)
+        if more is not None:
+            links = more if links is None else links.unionByName(more)
+            labels = components(links)
     smallest = _labelled(classes, labels)
     whole = smallest.groupBy("label").agg(F.min("first").alias("component_id"))
     of_class = smallest.join(whole, "label").select("cid", "copies", "component_id")
     return table.join(of_class, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "cid", F.when(F.col("n") == 0, F.lit(1)).otherwise(F.col("copies")).alias("copies"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: the one with the component's id.
+
+    Rows without words are linked with nothing and all stay. Rows that repeat
+    the representative's id (and hold its text, or one linked with it) are
+    narrowed to one; only those rows are shuffled for it.
+    """
+    found = join(docs, id_col, text_col)
+    ids = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("k"), F.max("n_shingles").alias("n"))
+    keep = stored(ids.where((F.col("n") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__keep_id"), "k", "n"), "jaccard-kept")
+    single = keep.where((F.col("n") == 0) | (F.col("k") == 1)).select("__keep_id").distinct()
+    several = keep.where((F.col("n") > 0) & (F.col("k") > 1)).select("__keep_id").distinct()
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__keep_id"))
+    plain = docs.join(single, same, "left_semi")
+    if several.limit(1).count() == 0:
+        return plain
+    repeated = docs.join(several, same, "left_semi")
+    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
+    return plain.join(several, same, "left_anti").unionByName(
+        repeated.withColumn("__place", F.row_number().over(first)).where("__place = 1").drop("__place"))
