@@ -54,8 +54,8 @@ SALT_ROWS = 2000
 # Lists up to this size pair their members at once; in larger ones so many leaders per round.
 SMALL_LIST = 48
 LEADERS = 16
-# 64-bit words of the parity sketch.
-SKETCH = 8
+# Least number of cells of a parity sketch; larger sets have the next power of two of their size.
+CELLS = 512
 # Bits of the filter that tells which texts are read again for a check.
 FILTER_BITS = 1 << 23
 _NO_ID = -(1 << 63)
@@ -126,8 +126,12 @@ def class_id(tokens: np.ndarray) -> int:
 
 
 def parity_sketch(tokens: np.ndarray) -> list[int]:
-    """Parity of the number of shingles in each of 64 * SKETCH cells."""
-    cells = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    """Parity of the number of shingles in each of ``CELLS`` or more cells, as 64-bit words.
+
+    A sketch of twice the cells is folded to this one by joining its halves.
+    """
+    n = max(CELLS, 1 << (len(tokens) - 1).bit_length())
+    cells = np.bincount((tokens & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
     return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -151,7 +155,7 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.nd
     """Hashes (sorted) and counts of the most frequent shingles, ``MAX_FREQUENT`` at most."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets([t or "" for t in batch.column(0).to_pylist()])
+        sets = [s for part in sliced(batch, 0) for s in shingle_sets([t or "" for t in part.column(0).to_pylist()])]
         h, n = np.unique(np.concatenate(sets), return_counts=True)
         often = n >= FREQUENT
         return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["h", "n"])
@@ -225,6 +229,14 @@ def _class_filter(ids: DataFrame):
     return table
 
 
+def _near_sketches(sa: str, na: str, sb: str, nb: str):
+    """Whether two sketches differ in no more bits than linked sets of these sizes can."""
+    few = f"least(size({sa}), size({sb}))"
+    folded = lambda s: f"({s}[i] ^ if(size({s}) > {few}, {s}[i + {few}], 0L))"
+    apart = f"aggregate(sequence(0, {few} - 1), 0, (n, i) -> n + bit_count({folded(sa)} ^ {folded(sb)}))"
+    return F.expr(f"{apart} <= {na} + {nb} - 2 * ceil(({na} + {nb}) * {NUM} / {NUM + DEN})")
+
+
 class _Checker:
     """Exact checks of candidate pairs of classes."""
 
@@ -236,9 +248,7 @@ class _Checker:
         own = self.sketches
         both = (pairs.join(own.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
                 .join(own.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"))
-        apart = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0))
-        total = F.col("na") + F.col("nb")
-        return both.where(apart <= total - 2 * F.ceil(total * NUM / (NUM + DEN))).select("a", "b")
+        return both.where(_near_sketches("sa", "na", "sb", "nb")).select("a", "b")
 
     def links(self, pairs: DataFrame) -> DataFrame | None:
         """The linked ones of ``pairs`` (a, b); some may be repeated."""
@@ -324,15 +334,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spark = docs.sparkSession
     entries = (table.where("keys is not null").select(F.explode("keys").alias("key"), "cid", "n")
                .repartition("key").dropDuplicates(["key", "cid"]))
-    in_list = Window.partitionBy("key")
-    lists = stored(entries.withColumn("k", F.count(F.lit(1)).over(in_list)).where("k > 1")
-                   .withColumn("lead", F.min(F.struct("n", "cid")).over(in_list))
-                   .select("key", "cid", "n", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n")), "jaccard-lists")
-    # salted keys back to their shingle, for the later rounds
+    # salted keys and their shingle, for the later rounds
     often, weight = frequent
     hot = np.flatnonzero(weight > SALT_ROWS)
     names = [(int(k), int(often[i].view(np.int64))) for i in hot for k in
              salted(np.repeat(often[i], -(-weight[i] // SALT_ROWS)), np.arange(1, -(-weight[i] // SALT_ROWS) + 1)).view(np.int64)]
+    entries = entries.join(spark.createDataFrame(names, "key long, shingle long"), "key", "left")
+    # lists with the same members have the same name and are kept once; a shingle's salted lists share its name
+    in_list = Window.partitionBy("key")
+    lists = stored(entries.withColumn("k", F.count(F.lit(1)).over(in_list)).withColumn("lead", F.min(F.struct("n", "cid")).over(in_list))
+                   .withColumn("name", F.coalesce("shingle", F.bit_xor(F.xxhash64("cid")).over(in_list)))
+                   .where("k > 1 or shingle is not null")
+                   .select("name", "cid", "n", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n")), "jaccard-lists")
     sketches = table.where("sketch is not null").select("cid", "n", "sketch").dropDuplicates(["cid"])
     checker = _Checker(rows, classes, stored(sketches, "jaccard-sketches"))
     order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
@@ -340,14 +353,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     .select(F.col("lead").alias("a"), F.col("cid").alias("b")).select(*order).distinct(), "jaccard-pairs")
     links = checker.links(tested)
     labels = None if links is None else components(links)
-    open_ = lists.select("key", "cid", "n")
-    if names:
-        back = spark.createDataFrame(names, "key long, shingle long")
-        # a salted list of one entry was dropped above, but its shingle's other lists may not be
-        single = (entries.join(back, "key", "left_semi").select("key", "cid", "n"))
-        open_ = open_.unionByName(single).distinct().join(back, "key", "left").select(
-            F.coalesce("shingle", "key").alias("key"), "cid", "n")
-    open_ = stored(open_, "jaccard-open")
+    sketch = checker.sketches.select("cid", "sketch")
+    open_ = lists.select(F.col("name").alias("key"), "cid", "n").distinct()
     leaders = LEADERS
     while True:
         named = _labelled(open_, labels)
@@ -355,10 +362,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         open_ = stored(named.join(several.select("key", "k"), "key"), "jaccard-open")
         if open_.limit(1).count() == 0:
             break
-        ranked = open_.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("n", "cid")))
+        ranked = open_.join(sketch, "cid").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("n", "cid")))
         first = ranked.where((F.col("k") <= SMALL_LIST) | (F.col("place") <= leaders)).select(
-            "key", F.col("cid").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("place").alias("pa"))
+            "key", F.col("cid").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("place").alias("pa"),
+            F.col("sketch").alias("sa"))
         pairs = (ranked.join(first, "key").where((F.col("place") > F.col("pa")) & (F.col("label") != F.col("la")) & _fits("n", "na"))
+                 .where(_near_sketches("sa", "na", "sketch", "n"))
                  .select(F.col("a_").alias("a"), F.col("cid").alias("b")).select(*order).distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "jaccard-pairs")
         open_ = stored(ranked.where((F.col("k") > SMALL_LIST) & (F.col("place") > leaders)).select("key", "cid", "n"), "jaccard-open")

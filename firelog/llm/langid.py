@@ -109,7 +109,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
         return pa.RecordBatch.from_arrays([pa.array(langs.tolist(), pa.string()), pa.array(sums.tolist(), pa.list_(pa.int64()))],
                                           names=["lang", "sums"])
 
-    parts = map_slices(rows, "text", bundle, "lang string, sums array<long>", max_bytes=1 << 22)
+    parts = map_slices(rows, "text", bundle, "lang string, sums array<long>")
     total = (parts.select("lang", F.posexplode("sums").alias("place", "v"))
              .groupBy("lang", "place").agg(F.sum("v").alias("v")))
     found: dict[str, np.ndarray] = {}

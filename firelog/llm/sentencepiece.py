@@ -36,7 +36,7 @@ from firelog.llm.tokens import vocabulary_path
 MARK = "▁"
 # Remembered stretches (up to the window's length) and first pieces of remembered pairs, per worker
 # process and generation: a full generation becomes the old one, and the old one is forgotten.
-MAX_WORDS = 250_000
+MAX_WORDS = 200_000
 MAX_FOLLOW = 20_000
 
 
