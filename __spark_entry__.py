@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from firelog.operators import reads as R
 from firelog.operators import report as RP
 from firelog.operators import stats as ST
 from firelog.operators import triage as TR
-from firelog.session import configure
+from firelog.session import configure, scratch_path
 from firelog.sources import fixtures as FX
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -33,6 +32,13 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.log_lines(spark, sf_dir)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_line_class_counts(spark, sf_dir):
     return TR.class_counts(_lines(spark, sf_dir))
 
@@ -72,10 +78,10 @@ def q_ingest_incremental(spark, sf_dir):
     """Two runs: the first half of the log, then the whole log again (store wins).
 
     Store rows depend only on their own line, so the whole log is parsed once
-    (persisted) and run 1 takes its rows by line position.
+    (written to scratch) and run 1 takes its rows by line position.
     """
     lines = _lines(spark, sf_dir)
-    rows = I.store_rows_from_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _stored(I.store_rows_from_lines(lines), "rows")
     acc = I.accepted(rows)
     first = I.insert_if_absent(FX.first_batch(spark, sf_dir, acc), None)
     second = I.insert_if_absent(acc, store=first)
@@ -100,17 +106,16 @@ def _run(spark, sf_dir, parse_all=False):
     """Ingest of the whole log (newest first) + one enrichment run.
 
     The flagged rows feed both the store and the enrichment; they are
-    persisted (memory, spilling to disk) so the regex pass runs once. The
-    batch job in ``firelog.plans.batch`` writes them to a staging table
-    instead.
+    written to the shared scratch folder once, as the batch job in
+    ``firelog.plans.batch`` does, so the regex pass runs once.
     """
     lines = _lines(spark, sf_dir)
     if parse_all:
         # every line is classified (for the counters): parse once, reuse
-        lines = TR.parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
-        rows = I.store_rows_from_parsed(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        lines = _stored(TR.parse_lines(lines), "parsed")
+        rows = _stored(I.store_rows_from_parsed(lines), "rows")
     else:
-        rows = I.store_rows_from_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = _stored(I.store_rows_from_lines(lines), "rows")
     acc = I.accepted(rows)
     out = {"rows": rows, "rejected": I.rejected(rows), "accepted": acc,
            "new_rows": I.insert_if_absent(acc, None, "newest")}

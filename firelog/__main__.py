@@ -55,8 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--as-of")
     p.add_argument("--flagged-only", action="store_true",
                    help="parse only lines that pass the flag test (benign/malformed not counted)")
-    p.add_argument("--keep-long-lines", action="store_true",
-                   help="process lines over 64 KiB instead of failing the run")
+    p.add_argument("--fail-on-long-lines", action="store_true",
+                   help="stop the run at a line over 64 KiB")
 
     p = sub.add_parser("stream")
     p.add_argument("--source", required=True)
@@ -98,11 +98,11 @@ def main(argv: list[str] | None = None) -> int:
             answers = read_geo_answers(spark, args.answers, args.answers_format)
             counts = B.run(spark, args.logs, args.store, answers, args.geo_in, args.geo_out, args.as_of,
                            order, args.rejects, classify_all=not args.flagged_only,
-                           long_lines="keep" if args.keep_long_lines else "fail")
+                           long_lines="fail" if args.fail_on_long_lines else "keep")
         else:
             counts = B.run_ingest(spark, args.logs, args.store, order, args.rejects,
                                   classify_all=not args.flagged_only,
-                                  long_lines="keep" if args.keep_long_lines else "fail")
+                                  long_lines="fail" if args.fail_on_long_lines else "keep")
         _print_rows(B.summary_frame(spark, counts))
     elif args.cmd == "stream":
         from firelog.streaming.ingest_stream import run_ingest_stream
@@ -134,7 +134,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.out:
             rep.write.mode("errorifexists").parquet(args.out)
         else:
-            _print_rows(rep.orderBy("date", "source_ip"), limit=1000)
+            for r in rep.orderBy("date", "source_ip").toLocalIterator():
+                print(json.dumps(r.asDict(), default=str))
     return 0
 
 

@@ -56,20 +56,17 @@ def decode_answers(answers: DataFrame) -> DataFrame:
     )
 
 
-def fetch(candidates: DataFrame, answers: DataFrame, broadcast_candidates: bool = False) -> DataFrame:
+def fetch(candidates: DataFrame, answers: DataFrame) -> DataFrame:
     """Each candidate with its decoded answer: ``(ip, attributes..., geo_error)``.
 
-    A candidate without an answer gets ``geo_error = 'no answer'``. Answers
-    must be unique per ``ip``; only the candidates' answers are decoded.
-
-    ``broadcast_candidates`` (use after a size check of the candidates): the
-    answers are first semi-joined against the broadcast candidate list, so a
-    large provider table is streamed once and never shuffled (a left outer
-    join could only broadcast the answers side).
+    A candidate without an answer gets ``geo_error = 'no answer'``. Only the
+    candidates' answers are kept and decoded. Of several answers for one
+    address one with status 200 wins, then the larger status, then the larger
+    body (so the choice does not depend on the order of rows).
     """
-    ans = answers.select("ip", "status_code", "body")
-    if broadcast_candidates:
-        ans = ans.join(F.broadcast(candidates.select("ip")), "ip", "left_semi")
+    ans = answers.select("ip", "status_code", "body").join(candidates.select("ip"), "ip", "left_semi")
+    best = F.max(F.struct((F.col("status_code") == 200).alias("ok"), "status_code", "body")).alias("a")
+    ans = ans.groupBy("ip").agg(best).select("ip", "a.status_code", "a.body")
     joined = candidates.join(ans, "ip", "left")
     return decode_answers(joined).select("ip", *DECODED_COLUMNS)
 
@@ -87,10 +84,14 @@ def as_geo_rows(fetched: DataFrame, as_of: str) -> DataFrame:
 def upsert_geo(existing: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Geo table after merging ``new_rows``: a new row replaces every
     attribute of an existing row with the same address, else it is added.
-    ``new_rows`` must be unique per address."""
-    cols = list(S.GEO_COLUMNS)
-    kept = existing.select(*cols).join(new_rows.select("ip_address"), "ip_address", "left_anti")
-    return kept.unionByName(new_rows.select(*cols))
+    One aggregation over both, one row per address: a new row wins over an
+    existing one; of several on one side the one last updated, then the one
+    with the larger attributes."""
+    rest = [c for c in S.GEO_COLUMNS if c not in ("ip_address", "last_updated")]
+    both = existing.select(F.lit(0).alias("_new"), *S.GEO_COLUMNS).unionByName(
+        new_rows.select(F.lit(1).alias("_new"), *S.GEO_COLUMNS))
+    best = both.groupBy("ip_address").agg(F.max(F.struct("_new", "last_updated", *rest)).alias("_b"))
+    return best.select(*[F.col(c) if c == "ip_address" else F.col(f"_b.{c}") for c in S.GEO_COLUMNS])
 
 
 def enrich(rows: DataFrame, geo: DataFrame, answers: DataFrame, as_of: str) -> dict[str, DataFrame]:

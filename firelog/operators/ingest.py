@@ -84,18 +84,20 @@ def dedupe_batch(rows: DataFrame, order: str = "newest", order_col: str = "line_
     )
 
 
+def days_of(batch: DataFrame):
+    """The distinct days of a batch as one scalar subquery (an array, one entry per day)."""
+    return batch.select(F.collect_set(S.LOG_PARTITION)).scalar()
+
+
 def restrict_store_to(store: DataFrame, batch: DataFrame) -> DataFrame:
     """Store rows on the dates covered by ``batch`` (runtime partition pruning).
 
-    The bounds are one scalar subquery (min and max in one pass over the
-    batch), so when ``store`` is partitioned by
-    ``log_date`` only the partitions between the batch's first and last date
-    are listed and read. Use on a materialised batch (a subquery re-runs the
-    batch plan).
+    The days are one scalar subquery, so when ``store`` is partitioned by
+    ``log_date`` only the partitions of these very days are read; a stray
+    date adds one day, not all between. Use on a materialised batch (a
+    subquery re-runs the batch plan).
     """
-    day = F.col(S.LOG_PARTITION)
-    bounds = batch.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-    return store.where(day.between(bounds.getField("lo"), bounds.getField("hi")))
+    return store.where(F.array_contains(days_of(batch), F.col(S.LOG_PARTITION)))
 
 
 def insert_if_absent(rows: DataFrame, store: DataFrame | None = None, order: str = "newest",

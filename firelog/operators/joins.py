@@ -1,42 +1,18 @@
 """Joining log rows to a per-IP dimension table.
 
 The dimension (geo rows, one per IP) grows with the number of distinct
-addresses ever seen, so it is broadcast only behind a bounded check of its
-size; otherwise the join is a shuffle join and adaptive execution splits
-the partition of a hot address (a single scanner may send a third of all
-lines) into several tasks.
+addresses ever seen, so nothing is broadcast by hint: adaptive execution
+measures both sides after their shuffles and broadcasts one only if its bytes
+are below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it
+splits the partition of a hot address (a single scanner may send a third of
+all lines) into several tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows of a dimension that may be broadcast (~100 bytes a row -> ~50 MB).
-MAX_BROADCAST_ROWS = 500_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    Costs a scan of at most ``max_rows + 1`` rows (the limit stops it), not
-    of the whole table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-                   check_rows: bool = False, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``fact`` joined to a dimension unique on ``on``.
-
-    Default: no hint. Adaptive execution measures the dimension side after
-    its shuffle stage and switches to a broadcast hash join only if the
-    measured bytes are below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-    otherwise it stays a sort-merge join whose skewed partitions (a hot
-    address) are split by the skew-join rule. With ``check_rows`` (for a
-    stored dimension, where counting is cheap) the broadcast hint is given
-    after the bounded row check instead.
-    """
-    if check_rows and fits_broadcast(dim, max_broadcast_rows):
-        return fact.join(F.broadcast(dim), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left") -> DataFrame:
+    """``fact`` joined to a dimension unique on ``on``."""
     return fact.join(dim, on, how)

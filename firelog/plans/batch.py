@@ -38,6 +38,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _observed(observation: Observation) -> dict:
+    """Observed values; none where adaptive execution saw that there are no rows and left the observation out."""
+    return observation.get if observation._jo.getRow().length() else {}
+
+
 def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order: str = "newest",
                  rejects_path: str | None = None, keep_staging: bool = False,
                  classify_all: bool = True) -> dict[str, int]:
@@ -86,7 +91,7 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     staged = spark.read.parquet(staging)
 
     if rejects_path:
-        I.rejected(staged).write.mode("append").parquet(rejects_path)
+        TB.append_rejects(I.rejected(staged), rejects_path)
 
     acc = I.accepted(staged)
     store = TB.read_log_store(spark, store_path)
@@ -96,15 +101,14 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     obs_new = Observation("firelog_inserted")
     new_rows = new_rows.observe(obs_new, F.count(F.lit(1)).alias("inserted"))
     TB.append_log_store(new_rows, store_path)
-    day = F.col(S.LOG_PARTITION)
-    TB.refresh_day_index(spark, store_path, acc.select(F.min(day)).scalar(), acc.select(F.max(day)).scalar())
+    TB.refresh_day_index(spark, store_path, I.days_of(acc))
 
     counts = dict(obs_lines.get)
     if not classify_all:
         counts.update(flagged=obs_flagged.get.get("flagged", 0), malformed=None, benign=None)
     totals = obs_rows.get
     counts["errors"] = totals["errors"]
-    counts["inserted"] = obs_new.get.get("inserted", 0)
+    counts["inserted"] = _observed(obs_new).get("inserted", 0)
     counts["duplicates"] = totals["accepted"] - counts["inserted"]
     counts["processed"] = counts["flagged"]
     if keep_staging:
@@ -116,11 +120,10 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
 
 def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str, order: str = "newest",
                rejects_path: str | None = None, classify_all: bool = True,
-               long_lines: str = "fail") -> dict[str, int]:
+               long_lines: str = "keep") -> dict[str, int]:
     """Read log text files and ingest them (see module docstring).
 
-    ``long_lines='keep'`` processes lines beyond 64 KiB instead of failing
-    the run on the first one.
+    ``long_lines='fail'`` stops the run at the first line beyond 64 KiB.
     """
     lines = read_log_lines(spark, log_path, long_lines=long_lines)
     counts, _ = ingest_lines(spark, lines, store_path, order, rejects_path, classify_all=classify_all)
@@ -132,20 +135,17 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
     """Look up the new source addresses of ``flagged_rows`` and write the
     merged geo table as a new version at ``geo_out``.
 
-    The candidate list is written to scratch first (distinct new addresses,
-    small); when a bounded count shows it fits a broadcast, the answers are
-    filtered by a broadcast semi-join, so a large provider table is read
-    once and not shuffled.
+    The candidate list is written to scratch first (distinct new addresses),
+    so that the planner knows its size and may broadcast it when filtering
+    the answers.
     """
-    from firelog.operators.joins import fits_broadcast
-
     configure(spark)
     geo = TB.read_geo_table(spark, geo_in)
     cands_path = scratch_path(spark, "firelog-geo-candidates")
     G.geo_candidates(G.seen_source_ips(flagged_rows), geo).write.parquet(cands_path)
     cands = spark.read.parquet(cands_path)
     fetched_path = scratch_path(spark, "firelog-geo-fetched")
-    G.fetch(cands, answers, broadcast_candidates=fits_broadcast(cands)).write.parquet(fetched_path)
+    G.fetch(cands, answers).write.parquet(fetched_path)
     fetched = spark.read.parquet(fetched_path)
     TB.write_geo_table(G.upsert_geo(geo, G.as_geo_rows(fetched, as_of)), geo_out)
     c = fetched.agg(
@@ -161,7 +161,7 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
 def run(spark: SparkSession, log_path: str | list[str], store_path: str, answers: DataFrame,
         geo_in: str | None, geo_out: str, as_of: str, order: str = "newest",
         rejects_path: str | None = None, classify_all: bool = True,
-        long_lines: str = "fail") -> dict[str, int]:
+        long_lines: str = "keep") -> dict[str, int]:
     """Ingest + enrichment; returns all run counters."""
     lines = read_log_lines(spark, log_path, long_lines=long_lines)
     counts, staged = ingest_lines(spark, lines, store_path, order, rejects_path, keep_staging=True,

@@ -1,8 +1,7 @@
 """Report jobs over the stored tables (log store + current geo table).
 
-The geo table is stored, so its broadcast is decided by a bounded row count
-before planning (``check_rows=True``); the store side is restricted to the
-requested days by partition pruning before any aggregation.
+The store side is restricted to the requested days by partition pruning before
+any aggregation.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ def ip_summary_report(spark: SparkSession, store_path: str, geo_path: str,
     """Per-day, per-address summary (see ``report.ip_summary``)."""
     configure(spark)
     geo = TB.read_geo_table(spark, geo_path)
-    return RP.ip_summary(_store(spark, store_path, first_day, last_day), geo, check_rows=True)
+    return RP.ip_summary(_store(spark, store_path, first_day, last_day), geo)
 
 
 def attack_trend_report(spark: SparkSession, store_path: str, geo_path: str,
@@ -41,7 +40,7 @@ def attack_trend_report(spark: SparkSession, store_path: str, geo_path: str,
     """Flagged rows per day and country."""
     configure(spark)
     geo = TB.read_geo_table(spark, geo_path)
-    return RP.attack_trend(_store(spark, store_path, first_day, last_day), geo, check_rows=True)
+    return RP.attack_trend(_store(spark, store_path, first_day, last_day), geo)
 
 
 def enriched_logs_report(spark: SparkSession, store_path: str, geo_path: str,
@@ -49,7 +48,7 @@ def enriched_logs_report(spark: SparkSession, store_path: str, geo_path: str,
     """Log rows with the location of their source address."""
     configure(spark)
     geo = TB.read_geo_table(spark, geo_path)
-    return RP.enriched_logs(_store(spark, store_path, first_day, last_day), geo, check_rows=True)
+    return RP.enriched_logs(_store(spark, store_path, first_day, last_day), geo)
 
 
 def logs_page(spark: SparkSession, store_path: str, limit: object = None, offset: object = None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,9 +86,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its (possibly distributed) file system."""
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.removeprefix("file:"))
+    """Whether ``path`` exists on its file system (without a scheme: Spark's default one)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

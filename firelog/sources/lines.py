@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A line of this many bytes or more does not fit a 64 KiB line buffer.
+# A longer line does not fit a 64 KiB line buffer.
 MAX_LINE_BYTES = 64 * 1024 - 1
 
 
@@ -26,12 +26,12 @@ def _ordinal(df: DataFrame) -> Column:
 
 
 def lines_from_text(df: DataFrame, max_line_bytes: int | None = MAX_LINE_BYTES,
-                    long_lines: str = "fail") -> DataFrame:
+                    long_lines: str = "keep") -> DataFrame:
     """``value`` of a text scan -> ``line`` with one trailing ``\\r`` removed.
 
-    ``long_lines='fail'`` aborts the job on a line longer than
-    ``max_line_bytes`` (a line reader with a fixed buffer stops there);
-    ``'keep'`` keeps such lines.
+    ``long_lines='keep'`` keeps lines of any length; ``'fail'`` aborts the
+    job on a line longer than ``max_line_bytes`` (a line reader with a fixed
+    buffer stops there).
     """
     value = F.col("value")
     line = F.when(value.endswith("\r"), value.substr(F.lit(1), F.length(value) - 1)).otherwise(value)
@@ -45,17 +45,19 @@ def lines_from_text(df: DataFrame, max_line_bytes: int | None = MAX_LINE_BYTES,
     return df.select(line.alias("line"), *[c for c in df.columns if c != "value"])
 
 
-def read_log_lines(spark: SparkSession, path: str | list[str], **kw) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str | list[str], spread: int | None = None, **kw) -> DataFrame:
     """Batch scan of log text: ``(line_no STRUCT, line STRING)``.
 
     Lines are split on ``\\n`` only (a ``\\r`` before it is dropped), empty
     lines are kept. ``line_no`` orders lines as they appear in the files.
+    ``spread`` deals the lines out to so many tasks by their position, for
+    input that cannot be split (a gzip'd log); by default nothing is shuffled.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.option("lineSep", "\n").text(paths)
-    from firelog.operators.layout import ensure_parallelism
-
-    with_no = ensure_parallelism(raw.select(_ordinal(raw).alias("line_no"), "value"), "line_no")
+    with_no = raw.select(_ordinal(raw).alias("line_no"), "value")
+    if spread:
+        with_no = with_no.repartition(spread, "line_no")
     return lines_from_text(with_no, **kw).select("line_no", "line")
 
 

@@ -35,10 +35,11 @@ MAX_ROWS_PER_FILE = 2_000_000
 def append_log_store(new_rows: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
     """Append rows to the store, one directory per day.
 
-    Rows are clustered by day (and time, for min/max statistics per file)
-    before the write so each task writes few files per day.
+    Rows are rebalanced by day before the write (a large day is split by
+    adaptive execution), so a task writes few days and a day few files;
+    inside a file they are sorted by time.
     """
-    (new_rows.select(*S.LOG_COLUMNS, S.LOG_PARTITION)
+    (new_rows.select(*S.LOG_COLUMNS, S.LOG_PARTITION).hint("rebalance", S.LOG_PARTITION)
      .sortWithinPartitions(S.LOG_PARTITION, "timestamp")
      .write.mode("append").option("maxRecordsPerFile", max_rows_per_file)
      .partitionBy(S.LOG_PARTITION).parquet(path))
@@ -53,14 +54,22 @@ def day_index_path(store_path: str) -> str:
     return f"{store_path.rstrip('/')}/{DAY_INDEX}"
 
 
-def refresh_day_index(spark: SparkSession, store_path: str, first_day, last_day) -> None:
-    """Recount the store's rows for the days ``first_day..last_day`` (Columns or
-    literals) and replace just those days in the index (dynamic partition
+def append_rejects(rejects: DataFrame, path: str) -> None:
+    """Append rejected lines that are not there yet: one row per line text and reason, also after a replay."""
+    spark, key = rejects.sparkSession, ["line", "reject_reason"]
+    new = rejects.dropDuplicates(key)
+    if path_exists(spark, path):
+        new = new.join(spark.read.parquet(path).select(*key), key, "left_anti")
+    new.select(*rejects.columns).write.mode("append").parquet(path)
+
+
+def refresh_day_index(spark: SparkSession, store_path: str, days) -> None:
+    """Recount the store's rows for ``days`` (a Column with an array of dates) and replace just those days in the index (dynamic partition
     overwrite). Counting reads only Parquet footers of the touched days."""
     store = read_log_store(spark, store_path)
     if store is None:
         return
-    counts = (store.where(F.col(S.LOG_PARTITION).between(first_day, last_day))
+    counts = (store.where(F.array_contains(days, F.col(S.LOG_PARTITION)))
               .groupBy(S.LOG_PARTITION).agg(F.count(F.lit(1)).alias("rows")))
     (counts.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(S.LOG_PARTITION).parquet(day_index_path(store_path)))
@@ -75,15 +84,17 @@ def read_day_index(spark: SparkSession, store_path: str) -> DataFrame | None:
 
 
 def read_geo_table(spark: SparkSession, path: str | None) -> DataFrame:
-    """The geo table; an empty one if ``path`` is None or missing."""
-    if path and path_exists(spark, path):
-        return spark.read.schema(S.GEO_SCHEMA).parquet(path)
-    return spark.createDataFrame([], S.GEO_SCHEMA)
+    """The geo table; an empty one if ``path`` is None. A path that does not exist is an error."""
+    if path is None:
+        return spark.createDataFrame([], S.GEO_SCHEMA)
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"geo table not found: {path}")
+    return spark.read.schema(S.GEO_SCHEMA).parquet(path)
 
 
 def write_geo_table(geo: DataFrame, path: str) -> None:
     """Write a new version of the geo table (``path`` must not be an input)."""
-    geo.select(*S.GEO_COLUMNS).write.mode("errorifexists").parquet(path)
+    geo.select(*S.GEO_COLUMNS).sortWithinPartitions("ip_address").write.mode("errorifexists").parquet(path)
 
 
 def read_geo_answers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

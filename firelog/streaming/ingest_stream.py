@@ -15,16 +15,21 @@ are always checked against the whole store.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from firelog.operators.layout import ensure_parallelism
 from firelog.plans.batch import ingest_lines
 from firelog.session import configure, scratch_path
 from firelog.sources.lines import read_log_line_stream
 
 
+# Counters kept of the last micro-batches.
+KEPT_COUNTERS = 1000
+
+
 def _number_lines(batch: DataFrame) -> DataFrame:
     line_no = F.struct(F.col("file"), F.col("block"), F.monotonically_increasing_id().alias("pos"))
     return batch.select(line_no.alias("line_no"), "line")
@@ -45,13 +50,10 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
     configure(spark)
     ckpt = checkpoint_location or scratch_path(spark, "firelog-stream-ckpt")
     lines = read_log_line_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
-    counters: list[dict] = []
+    counters: deque[dict] = deque(maxlen=KEPT_COUNTERS)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # numbered first (positions follow the file splits), then spread if
-        # the micro-batch came in as a few large splits
-        numbered = ensure_parallelism(_number_lines(batch), "line_no")
-        counts, _ = ingest_lines(batch.sparkSession, numbered, store_path, order, rejects_path,
+        counts, _ = ingest_lines(batch.sparkSession, _number_lines(batch), store_path, order, rejects_path,
                                  classify_all=classify_all)
         counts["batch_id"] = batch_id
         counters.append(counts)
@@ -72,4 +74,4 @@ def run_ingest_stream(spark: SparkSession, source_dir: str, store_path: str, **k
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return q.firelog_counters
+    return list(q.firelog_counters)

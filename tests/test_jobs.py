@@ -116,7 +116,7 @@ def test_long_line_policy(spark, tmp_dir):
     kept = read_log_lines(spark, src, long_lines="keep").count()
     assert kept == 2
     with pytest.raises(Exception):
-        read_log_lines(spark, src).collect()
+        read_log_lines(spark, src, long_lines="fail").collect()
 
 
 def test_parse_filters_do_not_reevaluate_regex(spark):
@@ -182,12 +182,12 @@ def test_flagged_only_ingest_gives_same_store(spark, tmp_dir):
     assert a == b and len(a) == 1
 
 
-def test_run_ingest_keeps_long_lines_on_request(spark, tmp_dir):
+def test_run_ingest_keeps_long_lines(spark, tmp_dir):
     import pytest
 
     src = f"{tmp_dir}/in"
     write_text(src, "a.log", [mk("2025-01-05T00:00:01Z") + " " + "x" * 70000])
     with pytest.raises(Exception):
-        B.run_ingest(spark, src, f"{tmp_dir}/s1")
-    c = B.run_ingest(spark, src, f"{tmp_dir}/s2", long_lines="keep")
+        B.run_ingest(spark, src, f"{tmp_dir}/s1", long_lines="fail")
+    c = B.run_ingest(spark, src, f"{tmp_dir}/s2")
     assert (c["lines_read"], c["inserted"]) == (1, 1)
