@@ -34,6 +34,8 @@ HIDDEN = 12
 EMBED = 10
 TAGS = 1 + 2 * len(KINDS)
 EPOCHS = 6
+# Least number of steps, so that a small sample is gone through more often.
+MIN_STEPS = 230
 # Windows decoded at once.
 BLOCK = 512
 
@@ -242,8 +244,10 @@ def train_model(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int =
     mean = {k: np.zeros_like(v) for k, v in m.items()}
     var = {k: np.zeros_like(v) for k, v in m.items()}
     rng, step = np.random.default_rng(seed), 0
+    parts = max(1, len(x) // 64)
+    epochs = max(epochs, -(-MIN_STEPS // parts))
     for epoch in range(epochs):
-        for pick in np.array_split(rng.permutation(len(x)), max(1, len(x) // 64)):
+        for pick in np.array_split(rng.permutation(len(x)), parts):
             xb, yb = x[pick].T.astype(np.int64), y[pick].T.astype(np.int64)
             e, (h, sf, sb) = emissions(m, xb, keep=True)
             d_e, d_trans, d_start = _crf_grads(m, e, yb)
@@ -255,7 +259,7 @@ def train_model(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int =
             _lstm_back(m, "b", xb[::-1], sb, d_h[::-1, :, HIDDEN:], grads)
             size = np.sqrt(sum((g * g).sum() for g in grads.values()))
             step += 1
-            rate = 0.02 / (1 + epoch)
+            rate = 0.02 / (1 + 6 * epoch / epochs)
             for k, g in grads.items():
                 g = g * min(1.0, 5.0 / max(size, 1e-9))
                 mean[k] = 0.9 * mean[k] + 0.1 * g
