@@ -303,9 +303,13 @@ def tags_of(texts: list[str], spans: list[list[tuple[int, int, int]]], owner: np
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, np.ndarray] | None:
     """Model from the spans of at most ``MAX_TEXTS`` texts (smallest by a hash of the id) with a digit or ``@``."""
-    rows = (docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= 100_000))
-            .select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-            .orderBy("h").limit(MAX_TEXTS).collect())
+    some = docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= 100_000)).select(
+        F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
+    # the hashes alone are sorted: a task sends numbers, and only the chosen texts come to the driver
+    cut = some.select("h").distinct().orderBy("h").limit(MAX_TEXTS).agg(F.max("h")).first()[0]
+    if cut is None:
+        return None
+    rows = sorted(some.where(F.col("h") <= cut).dropDuplicates(["h"]).collect(), key=lambda r: r["h"])
     return train_on([r["text"] for r in rows])
 
 
