@@ -15,16 +15,23 @@ from pyspark.sql import functions as F
 
 from firelog import schemas as S
 from firelog.functions.extract import FIELD_ORDER
+from firelog.functions.sizes import size_pretty
 from firelog.operators import geo as G
 from firelog.operators import ingest as I
 from firelog.operators import reads as R
 from firelog.operators import report as RP
 from firelog.operators import stats as ST
+from firelog.operators import threat as TH
 from firelog.operators import triage as TR
+from firelog.plans import batch as PB
+from firelog.plans import reports as PR
 from firelog.session import configure, scratch_path
 from firelog.sources import fixtures as FX
+from firelog.sources import tables as TB
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +185,7 @@ def q_geo_lookup_bulk(spark, sf_dir):
 
 
 def _source_tables(sf_dir):
-    return {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "customer", "nation")}
+    return {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES}
 
 
 def q_table_stats(spark, sf_dir):
@@ -239,6 +246,70 @@ def q_stream_ingest(spark, sf_dir):
     return _store_cols(read_log_store(spark, store))
 
 
+def _text(lines: DataFrame, name: str) -> str:
+    """The lines written as text files in line order; their folder."""
+    path = scratch_path(lines.sparkSession, name)
+    lines.orderBy("line_no").select("line").write.text(path)
+    return path
+
+
+def q_ingest_rerun_stored(spark, sf_dir):
+    """First half of the log read from text into a store, then the whole log into the same store."""
+    lines, store = _lines(spark, sf_dir), scratch_path(spark, "rerun-store")
+    PB.run_ingest(spark, _text(FX.first_batch(spark, sf_dir, lines), "rerun-first"), store)
+    PB.run_ingest(spark, _text(lines, "rerun-all"), store)
+    return _store_cols(TB.read_log_store(spark, store))
+
+
+def q_logs_page_stored(spark, sf_dir):
+    """A page of a stored log, found through the store's day index."""
+    store = scratch_path(spark, "page-store")
+    PB.ingest_lines(spark, _lines(spark, sf_dir), store)
+    return PR.logs_page(spark, store, limit=20, offset=100)
+
+
+def q_geo_lookup_stored(spark, sf_dir):
+    """An enrichment run writes the geo table; every seen address is looked up in it."""
+    rows = _stored(I.store_rows_from_lines(_lines(spark, sf_dir)), "rows")
+    before, after = scratch_path(spark, "geo-before"), scratch_path(spark, "geo-after")
+    TB.write_geo_table(_existing_geo(spark, sf_dir), before)
+    PB.run_enrichment(spark, rows, before, FX.geo_answers(spark, sf_dir), after, FX.RUN_AS_OF)
+    return R.geo_lookup_many(TB.read_geo_table(spark, after), G.seen_source_ips(rows), "source_ip")
+
+
+def q_answers_from_json(spark, sf_dir):
+    """Answers written as JSON lines, read back as a provider's export and decoded."""
+    path = scratch_path(spark, "answers-json")
+    TB.write_json(FX.geo_answers(spark, sf_dir).select("ip", "status_code", "body"), path)
+    return G.decode_answers(TB.read_geo_answers(spark, path, "json")).select("ip", "status_code", *G.DECODED_COLUMNS)
+
+
+def q_json_sink_round_trip(spark, sf_dir):
+    """Extracted fields of every line through the JSON sink."""
+    fields, path = q_extract_all_lines(spark, sf_dir), scratch_path(spark, "fields-json")
+    TB.write_json(fields, path)
+    return spark.read.schema(fields.schema).json(path)
+
+
+def q_geo_upsert_duplicates(spark, sf_dir):
+    """Several answers for one address: one geo row, the documented winner."""
+    every = FX.repeated_answers(spark, FX.geo_answers(spark, sf_dir))
+    fetched = G.fetch(every.select("ip").distinct(), every)
+    return G.upsert_geo(_existing_geo(spark, sf_dir), G.as_geo_rows(fetched, FX.RUN_AS_OF))
+
+
+def q_size_pretty_values(spark, sf_dir):
+    """Readable sizes of numbers from bytes to petabytes, of both signs."""
+    orders = FX.read_table(spark, sf_dir, "orders").select("o_orderkey")
+    shifted = F.expr("shiftleft(o_orderkey, cast(o_orderkey % 41 as int)) * if(o_orderkey % 7 = 0, -1L, 1L)")
+    sizes = orders.withColumn("size_bytes", shifted)
+    return sizes.withColumn("size", size_pretty(F.col("size_bytes")))
+
+
+def q_threat_score(spark, sf_dir):
+    return TH.threat_score(_store(spark, sf_dir), FX.intelligence(spark, sf_dir))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_class_counts": q_line_class_counts,
     "valid_lines": q_valid_lines,
@@ -270,6 +341,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_ports": q_top_ports,
     "attack_trend": q_attack_trend,
     "stream_ingest": q_stream_ingest,
+    "ingest_rerun_stored": q_ingest_rerun_stored,
+    "logs_page_stored": q_logs_page_stored,
+    "geo_lookup_stored": q_geo_lookup_stored,
+    "answers_from_json": q_answers_from_json,
+    "json_sink_round_trip": q_json_sink_round_trip,
+    "geo_upsert_duplicates": q_geo_upsert_duplicates,
+    "size_pretty_values": q_size_pretty_values,
+    "threat_score": q_threat_score,
 }
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from firelog import schemas as S
 from firelog.operators.joins import join_dimension
+from firelog.operators.threat import log_level
 
 # Order of the run counters in the final summary.
 RUN_METRICS = (
     "lines_read", "flagged", "benign", "malformed", "inserted", "errors",
-    "geo_queued", "geo_completed", "geo_errors", "processed", "duplicates",
+    "geo_candidates", "geo_queued", "geo_completed", "geo_errors", "processed", "duplicates",
 )
 
 
@@ -33,7 +34,8 @@ def run_summary(parsed: DataFrame, rows: DataFrame, new_rows: DataFrame,
     store rows with ``reject_reason``; ``new_rows``: rows inserted;
     ``fetched``: geo lookups with ``geo_error``. Identities: lines_read =
     malformed + benign + flagged; flagged = processed = inserted + errors +
-    duplicates.
+    duplicates; geo_candidates = geo_queued (still waiting) + geo_completed +
+    geo_errors.
     """
     cls = F.col("line_class")
     parts = [
@@ -45,13 +47,14 @@ def run_summary(parsed: DataFrame, rows: DataFrame, new_rows: DataFrame,
     ]
     if fetched is not None:
         err = F.col("geo_error")
-        parts.append(_metric(fetched, geo_queued=F.count("*"), geo_completed=F.count_if(err.isNull()),
+        parts.append(_metric(fetched, geo_candidates=F.count("*"), geo_completed=F.count_if(err.isNull()),
                              geo_errors=F.count_if(err.isNotNull())))
     allm = reduce(DataFrame.unionByName, parts)
-    base = [m for m in RUN_METRICS if m != "duplicates"] + ["accepted_"]
+    base = [m for m in RUN_METRICS if m not in ("duplicates", "geo_queued")] + ["accepted_"]
     wide = _pivot(allm, base)
     dup = (F.col("accepted_") - F.col("inserted")).alias("duplicates")
-    wide = wide.select("*", dup)
+    waiting = (F.col("geo_candidates") - F.col("geo_completed") - F.col("geo_errors")).alias("geo_queued")
+    wide = wide.select("*", dup, waiting)
     names = [m for m in RUN_METRICS if m in wide.columns]
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ord"), F.lit(m).alias("metric"), F.col(m).alias("value"))
@@ -89,20 +92,17 @@ def ip_summary(store: DataFrame, geo: DataFrame) -> DataFrame:
     ports; ``log_level`` HIGH if any INTRUSION-DETECTED, MEDIUM if any
     PORTSCAN or MALFORMED-PACKET, else LOW; ``action_taken`` and ``notes``
     the distinct actions and reasons; ``geolocation`` "city, region,
-    country" without empty parts, else ``unknown``. Aggregated first (the
-    partial aggregate collapses a hot address per task), then joined to the
+    country" without empty parts, else ``unknown``. Counted first per distinct
+    port, action and reason (a hash aggregate that collapses a hot address per
+    task and spills), so the sets see distinct values only; then joined to the
     geo table, so the join sees one row per day and address.
     """
-    reason = F.col("reason")
-    level = (
-        F.when(reason.isin(*S.LEVEL_HIGH_REASONS), 2)
-        .when(reason.isin(*S.LEVEL_MEDIUM_REASONS), 1)
-        .otherwise(0)
-    )
-    agg = store.groupBy(F.col(S.LOG_PARTITION).alias("date"), "source_ip").agg(
-        F.count("*").alias("frequency"),
+    distinct = store.groupBy(F.col(S.LOG_PARTITION).alias("date"), "source_ip", "destination_port", "action", "reason").agg(
+        F.count("*").alias("n"))
+    agg = distinct.groupBy("date", "source_ip").agg(
+        F.sum("n").cast("bigint").alias("frequency"),
         _joined_sorted_set("destination_port").alias("ports_targeted"),
-        F.max(level).alias("_level"),
+        F.max(log_level(F.col("reason"))).alias("_level"),
         _joined_sorted_set("action").alias("action_taken"),
         _joined_sorted_set("reason").alias("notes"),
     )

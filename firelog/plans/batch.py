@@ -149,13 +149,15 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
     fetched = spark.read.parquet(fetched_path)
     TB.write_geo_table(G.upsert_geo(geo, G.as_geo_rows(fetched, as_of)), geo_out)
     c = fetched.agg(
-        F.count(F.lit(1)).alias("geo_queued"),
+        F.count(F.lit(1)).alias("geo_candidates"),
         F.count_if(F.col("geo_error").isNull()).alias("geo_completed"),
         F.count_if(F.col("geo_error").isNotNull()).alias("geo_errors"),
     ).first()
     _delete(spark, fetched_path)
     _delete(spark, cands_path)
-    return c.asDict()
+    counts = c.asDict()
+    counts["geo_queued"] = counts["geo_candidates"] - counts["geo_completed"] - counts["geo_errors"]
+    return counts
 
 
 def run(spark: SparkSession, log_path: str | list[str], store_path: str, answers: DataFrame,

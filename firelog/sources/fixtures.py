@@ -35,9 +35,9 @@ WITH src AS (
   SELECT event_id AS k, 2 * event_id + 1 AS line_no, 1 AS dup, ts, user_id, event_type FROM {events} WHERE event_id % 10 = 0
 )
 SELECT line_no, CASE WHEN k % 29 = 0 THEN '' ELSE concat(
-  CASE WHEN k % 17 = 0 THEN 'Jan  8 00:01:08' WHEN k % 31 = 0 THEN '2024-13-45T00:00:00-05:00'
+  CASE WHEN k % 17 = 0 THEN 'Mar 14 07:25:40' WHEN k % 31 = 0 THEN '2024-13-45T00:00:00-05:00'
        ELSE concat({TS}, CASE WHEN dup = 1 THEN '+01:00' ELSE '-05:00' END) END,
-  ' fw L4 FIREWALL[7567]: action=', CASE WHEN event_type = 'view' THEN 'ALLOW' ELSE 'DROP' END,
+  ' gate1 pf[412]: action=', CASE WHEN event_type = 'view' THEN 'ALLOW' ELSE 'DROP' END,
   ' reason=', CASE event_type WHEN 'error' THEN 'PORTSCAN' WHEN 'click' THEN 'POLICY-INPUT-GEN-DISCARD'
        WHEN 'view' THEN 'WHITELIST' WHEN 'signup' THEN 'RATE-LIMIT'
        ELSE CASE WHEN k % 2 = 0 THEN 'INTRUSION-DETECTED' ELSE 'MALFORMED-PACKET' END END,
@@ -67,6 +67,19 @@ FROM (SELECT c_custkey AS k, IPV4_OF_K AS ip, c_mktsegment, c_name, n_name
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey) c
 """.replace("IPV4_OF_K", _ipv4("c_custkey"))
 
+# A second answer of every third customer, as a provider that was asked twice sends it.
+SECOND_ANSWERS_SQL = """
+SELECT ip, k, 200 AS status_code, concat('{"country":"Again","city":"Second', CAST(k % 50 AS {STR}), '"}') AS body
+FROM {answers} a WHERE k % 3 = 0
+"""
+
+# A feed of suspect addresses: every second supplier, some listed twice.
+INTELLIGENCE_SQL = """
+SELECT IPV4_OF_S AS ip_address, 10 + s_suppkey % 50 AS weight FROM {supplier} WHERE s_suppkey % 2 = 1
+UNION ALL
+SELECT IPV4_OF_S AS ip_address, 30 AS weight FROM {supplier} WHERE s_suppkey % 6 = 1
+""".replace("IPV4_OF_S", _ipv4("s_suppkey"))
+
 # Existing geo rows (before enrichment): decodable answers of every fifth
 # customer, marked stale.
 STALE_CITY = "stale"
@@ -93,7 +106,8 @@ def render(sql: str, subst: dict[str, str], tables: dict[str, str] | None = None
 
 def duckdb_sql(sql: str) -> str:
     """Fixture SQL for DuckDB, reading the pre-registered views."""
-    return render(sql, DUCKDB_SUBST, {"events": "events", "customer": "customer", "nation": "nation"})
+    return render(sql, DUCKDB_SUBST, {"events": "events", "customer": "customer", "nation": "nation", "supplier": "supplier",
+                                      "answers": "answers"})
 
 
 def spark_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
@@ -110,6 +124,7 @@ SOURCE_SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
     "nation": "n_nationkey INT, n_name STRING",
+    "supplier": "s_suppkey BIGINT",
 }
 
 
@@ -140,6 +155,16 @@ def geo_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_sql(spark, GEO_ANSWERS_SQL, customer=customer, nation=nation)
 
 
+def repeated_answers(spark: SparkSession, answers: DataFrame) -> DataFrame:
+    """``answers`` with a second answer of every third customer."""
+    return answers.unionByName(spark_sql(spark, SECOND_ANSWERS_SQL, answers=answers))
+
+
+def intelligence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(ip_address, weight)``: a feed of suspect addresses; some are listed twice."""
+    return spark_sql(spark, INTELLIGENCE_SQL, supplier=read_table(spark, sf_dir, "supplier"))
+
+
 def first_batch(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """First half of the log by position (events with id below n/2)."""
     from pyspark.sql import functions as F

@@ -8,7 +8,16 @@ later statements stack on.
 
 from __future__ import annotations
 
-from firelog.sources.fixtures import GEO_ANSWERS_SQL, LOG_LINES_SQL, RUN_AS_OF, STALE_AS_OF, STALE_CITY, duckdb_sql
+from firelog.sources.fixtures import (
+    GEO_ANSWERS_SQL,
+    INTELLIGENCE_SQL,
+    LOG_LINES_SQL,
+    RUN_AS_OF,
+    SECOND_ANSWERS_SQL,
+    STALE_AS_OF,
+    STALE_CITY,
+    duckdb_sql,
+)
 
 # Field patterns (RE2) and flag words, as in the source tool.
 RE_TS = r"\b\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?([+\-]\d{2}:\d{2}|Z)?\b"
@@ -192,7 +201,7 @@ geo_run AS (SELECT * FROM existing UNION ALL
 
 
 _RUN_METRICS = ("lines_read", "flagged", "benign", "malformed", "inserted", "errors",
-                "geo_queued", "geo_completed", "geo_errors", "processed", "duplicates")
+                "geo_candidates", "geo_queued", "geo_completed", "geo_errors", "processed", "duplicates")
 
 
 def _counters_select() -> str:
@@ -203,13 +212,31 @@ def _counters_select() -> str:
   (SELECT count(*) FROM parsed WHERE line_class = 'malformed') AS malformed,
   (SELECT count(*) FROM store) AS inserted,
   (SELECT count(*) FROM rows WHERE reject_reason IS NOT NULL) AS errors,
-  (SELECT count(*) FROM fetched) AS geo_queued,
+  (SELECT count(*) FROM fetched) AS geo_candidates,
+  (SELECT count(*) FROM cands WHERE ip NOT IN (SELECT ip FROM fetched)) AS geo_queued,
   (SELECT count(*) FROM fetched WHERE geo_error IS NULL) AS geo_completed,
   (SELECT count(*) FROM fetched WHERE geo_error IS NOT NULL) AS geo_errors,
   (SELECT count(*) FROM rows) AS processed,
   (SELECT count(*) FROM rows WHERE reject_reason IS NULL) - (SELECT count(*) FROM store) AS duplicates"""
 
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
+# Sizes from a few bytes to petabytes, of both signs: an order's key, shifted by 0 to 48 bits.
+_HALF = "(a // 512)"
+_SIZES = f"""
+WITH n AS (SELECT o_orderkey, CAST(o_orderkey AS HUGEINT) * (CAST(1 AS BIGINT) << CAST(o_orderkey % 41 AS INTEGER))
+             * CASE WHEN o_orderkey % 7 = 0 THEN -1 ELSE 1 END AS size_bytes FROM orders),
+s AS (SELECT *, abs(size_bytes) AS a, CASE WHEN size_bytes < 0 THEN '-' ELSE '' END AS sign FROM n)
+SELECT o_orderkey, CAST(size_bytes AS BIGINT) AS size_bytes, CASE
+  WHEN a < 10240 THEN size_bytes::VARCHAR || ' bytes'
+  {" ".join(f"WHEN {_HALF} // {1024 ** i} < 20479 THEN sign || (({_HALF} // {1024 ** i} + 1) // 2)::VARCHAR || ' {u}'"
+            for i, u in enumerate(("kB", "MB", "GB", "TB")))}
+  ELSE sign || (({_HALF} // {1024 ** 4} + 1) // 2)::VARCHAR || ' PB' END AS size
+FROM s"""
+
+
 def build_more(q: dict[str, str]) -> None:
     geo_cols = "ip_address, country, region, city, isp, latitude, longitude, last_updated"
     q["seen_source_ips"] = _with(run_ctes(), "SELECT source_ip FROM seen")
@@ -234,8 +261,32 @@ UNION ALL SELECT {geo_cols} FROM new_geo""")
               "AND city IS NOT NULL AND isp IS NOT NULL")
     q["geo_lookup"] = _with(run_ctes(), lookup + " AND ip_address = '10.0.0.1'")
     q["geo_lookup_bulk"] = _with(run_ctes(), lookup + " AND ip_address IN (SELECT source_ip FROM seen)")
-    q["table_row_counts"] = ("SELECT 'events' AS name, count(*) AS row_count FROM events UNION ALL "
-                             "SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'nation', count(*) FROM nation")
+    q["table_row_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_count FROM {t}" for t in TABLES)
+    q["ingest_rerun_stored"] = q["ingest_incremental"]
+    q["logs_page_stored"] = q["logs_page_offset"]
+    q["geo_lookup_stored"] = q["geo_lookup_bulk"]
+    q["answers_from_json"] = q["geo_decode"]
+    q["json_sink_round_trip"] = q["extract_all_lines"]
+    q["geo_upsert_duplicates"] = _with(geo_ctes() + f""",
+every AS (SELECT ip, k, status_code, body FROM answers UNION ALL SELECT * FROM ({duckdb_sql(SECOND_ANSWERS_SQL)}) t),
+one0 AS (SELECT ip, status_code, CASE WHEN json_valid(body) THEN body END AS jbody FROM every
+         QUALIFY row_number() OVER (PARTITION BY ip ORDER BY (status_code = 200) DESC, status_code DESC, body DESC) = 1),
+one1 AS (SELECT *, {_geo_error("jbody")} AS geo_error FROM one0),
+one AS (SELECT ip, {_geo_attrs("jbody")}, geo_error FROM one1),
+new_geo AS (SELECT ip AS ip_address, country, region, city, isp, latitude, longitude, TIMESTAMP '{RUN_AS_OF}' AS last_updated
+            FROM one WHERE geo_error IS NULL)""", f"""SELECT {geo_cols} FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM new_geo n WHERE n.ip_address = e.ip_address)
+UNION ALL SELECT {geo_cols} FROM new_geo""")
+    q["size_pretty_values"] = _SIZES
+    q["threat_score"] = _with(ingest_ctes("newest") + f""",
+feed AS (SELECT ip_address, max(weight) AS weight FROM ({duckdb_sql(INTELLIGENCE_SQL)}) i GROUP BY 1),
+per_ip AS (SELECT source_ip, count(*) AS events,
+  max(CASE WHEN reason = 'INTRUSION-DETECTED' THEN 2 WHEN reason IN ('PORTSCAN', 'MALFORMED-PACKET') THEN 1 ELSE 0 END) AS lvl
+  FROM store GROUP BY 1),
+scored AS (SELECT source_ip, events, f.ip_address IS NOT NULL AS listed,
+  CAST(least(100, 25 * lvl + least(events, 20) + COALESCE(weight, 0)) AS BIGINT) AS threat_score
+  FROM per_ip p LEFT JOIN feed f ON f.ip_address = p.source_ip)""",
+        "SELECT source_ip, events, listed, threat_score, threat_score >= 70 AS malicious FROM scored")
     q["run_counters"] = _with(run_ctes(), _counters_select())
     unpivot = " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS ord, '{m}' AS metric, {m} AS value FROM c" for i, m in enumerate(_RUN_METRICS))

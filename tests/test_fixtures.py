@@ -16,7 +16,7 @@ def test_counters_match_documented_row(spark):
     c = E.queries()["run_counters"](spark, SF).first().asDict()
     assert (c["lines_read"], c["malformed"], c["benign"], c["flagged"]) == (1100, 177, 354, 569)
     assert (c["errors"], c["inserted"], c["duplicates"]) == (42, 476, 51)
-    assert (c["geo_queued"], c["geo_completed"], c["geo_errors"]) == (28, 12, 16)
+    assert (c["geo_candidates"], c["geo_queued"], c["geo_completed"], c["geo_errors"]) == (28, 0, 12, 16)
 
 
 def test_hot_source_holds_a_third(spark):

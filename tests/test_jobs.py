@@ -75,12 +75,12 @@ def test_full_run_with_enrichment(spark, tmp_dir):
         [("10.0.0.1", 200, '{"country":"US","city":"A","lat":1.5,"lon":2}'), ("10.0.0.2", 500, "")],
         "ip string, status_code int, body string")
     c = B.run(spark, src, store, answers, None, f"{tmp_dir}/geo1", "2024-02-01 00:00:00")
-    assert (c["geo_queued"], c["geo_completed"], c["geo_errors"]) == (3, 1, 2)
+    assert (c["geo_candidates"], c["geo_queued"], c["geo_completed"], c["geo_errors"]) == (3, 0, 1, 2)
     geo = TB.read_geo_table(spark, f"{tmp_dir}/geo1").collect()
     assert [(r.ip_address, r.city, r.latitude) for r in geo] == [("10.0.0.1", "A", 1.5)]
     # second run: only the failed addresses are asked again
     c2 = B.run(spark, src, store, answers, f"{tmp_dir}/geo1", f"{tmp_dir}/geo2", "2024-03-01 00:00:00")
-    assert (c2["geo_queued"], c2["inserted"]) == (2, 0)
+    assert (c2["geo_candidates"], c2["geo_queued"], c2["inserted"]) == (2, 0, 0)
     summary = B.summary_frame(spark, c2).collect()
     assert summary[0].metric == "lines_read"
 
