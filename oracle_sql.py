@@ -223,7 +223,7 @@ def _counters_select() -> str:
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Sizes from a few bytes to petabytes, of both signs: an order's key, shifted by 0 to 48 bits.
+# Sizes from a few bytes to petabytes, of both signs: an order's key, shifted by 0 to 40 bits.
 _HALF = "(a // 512)"
 _SIZES = f"""
 WITH n AS (SELECT o_orderkey, CAST(o_orderkey AS HUGEINT) * (CAST(1 AS BIGINT) << CAST(o_orderkey % 41 AS INTEGER))
