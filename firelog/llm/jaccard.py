@@ -30,6 +30,7 @@ shingle in the later rounds.
 from __future__ import annotations
 
 import hashlib
+import re
 from itertools import combinations
 from math import comb
 
@@ -168,9 +169,14 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.nd
 
 
 def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary: int) -> DataFrame:
-    """``(doc_id, n, cid, sketch, keys)``: class, set size, and the class's sketch and its list and subset keys (once per task, else null)."""
+    """``(doc_id, n, cid, sketch, keys)``: class, set size, and the class's sketch and its list and subset keys (once per task, else null).
+
+    Columns of ``docs`` (doc_id, text, ...) after the text, all long, follow.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MAX_FREQUENT entries
 
+    more = docs.columns[2:]
+
     def run(batches):
         seen: set[int] = set()  # classes of this task
         often, weight = shared.value
@@ -207,11 +213,12 @@ def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bounda
                     keys.append(own)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()),
-                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "cid", "sketch", "keys"])
+                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())), *batch.columns[2:]],
+                    names=["doc_id", "n", "cid", "sketch", "keys", *more])
 
     small_batches(docs.sparkSession)
-    return stored(docs.mapInArrow(run, "doc_id long, n long, cid long, sketch array<long>, keys array<long>"), "jaccard-sets")
+    schema = ", ".join(["doc_id long, n long, cid long, sketch array<long>, keys array<long>", *(f"{c} long" for c in more)])
+    return stored(docs.mapInArrow(run, schema), "jaccard-sets")
 
 
 def _fits(a: str, b: str):
@@ -315,23 +322,15 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, cid, copies)``, one row per row of ``docs``.
-
-    ``component_id`` is the smallest id reachable by links (a null id only
-    where no other is reachable), ``cid`` identifies the text's set (null for
-    a text without words), ``copies`` counts the rows of its class. A null or
-    empty text has no shingles and is linked with nothing. Rows that repeat
-    an id are separate documents with one name; repeated rows are copies.
-    """
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets of ``rows`` (doc_id, text, ...) and their classes with the label of each class's component."""
     boundary = light_boundary()
     frequent = frequent_shingles(rows, "text")
     table = _sets_table(rows, frequent, boundary)
     classes = stored(table.where("cid is not null").groupBy("cid").agg(
         F.min("n").alias("n"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"),
         F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("rep")), "jaccard-classes")
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     entries = (table.where("keys is not null").select(F.explode("keys").alias("key"), "cid", "n")
                .repartition("key").dropDuplicates(["key", "cid"]))
     # salted keys and their shingle, for the later rounds
@@ -379,7 +378,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         if more is not None:
             links = more if links is None else links.unionByName(more)
             labels = components(links)
-    smallest = _labelled(classes, labels)
+    return table, _labelled(classes, labels)
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id, cid, copies)``, one row per row of ``docs``.
+
+    ``component_id`` is the smallest id reachable by links (a null id only
+    where no other is reachable), ``cid`` identifies the text's set (null for
+    a text without words), ``copies`` counts the rows of its class. A null or
+    empty text has no shingles and is linked with nothing. Rows that repeat
+    an id are separate documents with one name; repeated rows are copies.
+    """
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    table, smallest = _linked(rows)
     whole = smallest.groupBy("label").agg(F.min("first").alias("component_id"))
     of_class = smallest.join(whole, "label").select("cid", "copies", "component_id")
     return table.join(of_class, "cid", "left").select(
@@ -388,23 +400,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their component: the one with the component's id.
+    """The rows of ``docs``, all columns, that stand for their component: one row of each.
 
-    Rows without words are linked with nothing and all stay. Rows that repeat
-    the representative's id (and hold its text, or one linked with it) are
-    narrowed to one; only those rows are shuffled for it.
+    It is the one with the smallest id (null ids last), then by class, text
+    and row hash; ids need not be unique, and rows are found again by id and
+    text hash. Rows without words are linked with nothing and all stay.
     """
-    found = join(docs, id_col, text_col)
-    ids = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("k"), F.max("n_shingles").alias("n"))
-    keep = stored(ids.where((F.col("n") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep_id"), "k", "n"), "jaccard-kept")
-    single = keep.where((F.col("n") == 0) | (F.col("k") == 1)).select("__keep_id").distinct()
-    several = keep.where((F.col("n") > 0) & (F.col("k") > 1)).select("__keep_id").distinct()
-    same = docs[id_col].cast("long").eqNullSafe(F.col("__keep_id"))
-    plain = docs.join(single, same, "left_semi")
-    if several.limit(1).count() == 0:
-        return plain
-    repeated = docs.join(several, same, "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
-    return plain.join(several, same, "left_anti").unionByName(
-        repeated.withColumn("__place", F.row_number().over(first)).where("__place = 1").drop("__place"))
+    key, h = docs[id_col].cast("long"), F.xxhash64(docs[text_col])
+    table, classes = _linked(docs.select(key.alias("doc_id"), docs[text_col].alias("text"), h.alias("h")))
+    worded = table.where("cid is not null")
+    in_class = worded.groupBy("cid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("r"))
+    best = (in_class.join(classes.select("cid", "label"), "cid").groupBy("label")
+            .agg(F.min(F.struct("r.none", "r.doc_id", "cid", "r.h")).alias("r")).select("r.doc_id", "r.h"))
+    repeats = worded.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    named = best.alias("b").join(repeats.alias("t"), F.col("b.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("b.h") == F.col("t.h")), "left")
+    keep = stored(named.select(F.col("b.doc_id").alias("__keep_id"), F.col("b.h").alias("__keep_h"),
+                               F.col("t.k").isNotNull().alias("several")), "jaccard-kept")
+    has_words = F.coalesce(docs[text_col].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = (h == F.col("__keep_h")) & key.eqNullSafe(F.col("__keep_id"))
+    out = docs.where(~has_words).unionByName(docs.where(has_words).join(keep.where("not several"), same, "left_semi"))
+    if keep.where("several").limit(1).count() == 0:
+        return out
+    # equal (id, text) rows: the least by the hash of all columns that can be hashed, combined per task
+    fields = [F.col(f"`{f.name}`") for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    row_hash = F.xxhash64(*fields, *(f.isNull() for f in fields))
+    repeated = docs.where(has_words).join(keep.where("several"), same, "left_semi")
+    first = (repeated.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.xxhash64(f"`{text_col}`").alias("h"), row_hash.alias("o"),
+                             F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+             .groupBy("i", "h").agg(F.min_by("row", "o").alias("row")))
+    return out.unionByName(first.select("row.*"))

@@ -251,6 +251,19 @@ def test_jaccard_components_against_brute_force(spark, docs, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(50))
+    rows = [(None, text("a"), "p"), (None, text("b"), "p"), (None, text("b").upper(), "p"), (None, text("c") + " tail", "p"), (7, text("c"), "p"),
+            (None, None, "p"), (None, None, "p"), (None, " ", "p"), (8, "", "p"), (8, text("d"), "p"), (8, text("e"), "p"),
+            (9, text("f"), "p"), (9, text("g") + " tail", "p"), (3, text("g"), "p"), (4, text("h"), "q"), (4, text("h"), "p"), (4, text("h"), None)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = [(None, "a"), (None, "b"), (7, "c"), (None, None), (None, None), (None, " "), (8, ""), (8, "d"), (8, "e"), (9, "f"), (3, "g"), (4, "h")]
+    short = lambda t: t[0].lower() if t and len(t) > 1 else t
+    kept = [sorted(map(str, jaccard.one_of_each(d).collect())) for d in (data, data.repartition(5))]
+    got = [(r.doc_id, short(r.text)) for r in jaccard.one_of_each(data).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and kept[0] == kept[1]
+
+
 def test_held_out_accuracy_on_the_tables(spark):
     """Language over the fixture table's held-out fifth, as the query measures it."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
