@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from firelog.llm import jaccard, langid, mixing, pii, sentencepiece
 from firelog.llm.common import read_table, stored
 
-# Texts whose best cosine is lower are taken as no language at all.
+# Texts whose best cosine is lower are taken as no language at all, if they are long enough to tell.
 MIN_LANGUAGE_SCORE = 0.1
 
 

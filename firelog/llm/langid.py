@@ -23,6 +23,9 @@ from firelog.llm.common import alpha_table, code_points, map_slices, mix
 
 DIM = 512
 UNKNOWN = "und"
+# A low cosine is evidence only from so many effective trigrams. The noise of a cosine is about 1 / sqrt(DIM) = 0.044, and that of
+# a text in its own language grows with its trigrams: pieces of sf0.1 texts with 64 or more have 0.308 at least, one-word pieces 0.
+MIN_TRIGRAMS = 64
 # Text bytes bundled at once: the count matrix is (texts in a slice) x (distinct trigrams).
 SLICE = 1 << 18
 
@@ -98,6 +101,18 @@ def bundles(texts: list[str], groups: np.ndarray | None = None, n_groups: int |
     return out
 
 
+def evidence(texts: list[str]) -> np.ndarray:
+    """Effective number of letter trigrams of each text: (sum of counts)^2 / sum of squared counts.
+
+    A text that repeats few trigrams has few, however long it is.
+    """
+    owner, number, grams = _trigrams(texts)
+    total = np.bincount(owner, minlength=len(texts)).astype(float)
+    key, count = np.unique(owner * (len(grams) + 1) + number, return_counts=True)
+    squares = np.bincount(key // (len(grams) + 1), weights=count.astype(float) ** 2, minlength=len(texts))
+    return total ** 2 / np.maximum(squares, 1)
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
     """Prototype of each language from every row with a text and a language."""
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
@@ -154,12 +169,20 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
 
 
 def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, whose language is known with at least ``min_score``."""
+    """Rows of ``docs``, all columns, without those of no known language.
+
+    Those are the ``und`` texts, and the texts scored below ``min_score``
+    that have at least ``MIN_TRIGRAMS`` effective trigrams: the score of a
+    shorter text says nothing against it.
+    """
     place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lang, score = predict(batch.column(place).to_pylist(), prototypes)
-        ok = [k != UNKNOWN and s >= min_score for k, s in zip(lang, score.tolist(), strict=True)]
+        texts = batch.column(place).to_pylist()
+        lang, score = predict(texts, prototypes)
+        ok = np.array([k != UNKNOWN for k in lang], bool)
+        low = np.flatnonzero(ok & (score < min_score))
+        ok[low] = evidence([texts[i] for i in low]) < MIN_TRIGRAMS
         return batch.filter(pa.array(ok, pa.bool_()))
 
     return map_slices(docs, place, run, docs.schema, max_bytes=SLICE)

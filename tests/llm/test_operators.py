@@ -98,6 +98,20 @@ def test_language(spark, docs, empty):
     assert langid.train(empty) == {}
 
 
+def test_short_texts_in_a_language_stay(spark):
+    rng = random.Random(7)
+    say = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    data = spark.createDataFrame([(i, say("aeioulnrst", 200), "xx") for i in range(20)], "doc_id long, text string, lang string")
+    protos = langid.train(data)
+    short = ["A.", "Avec.", "Lllldoado.", "Ж", "A. " * 5000, say("aeioulnrst", 3)]
+    far = [say("бвгджзкмпф", 400), "12 !", "", None]
+    scores = langid.predict(short[:4], protos)[1]
+    assert scores.min() < 0.1 and langid.predict(far[:1], protos)[1][0] < 0.1
+    assert langid.evidence(["A. " * 5000, "", "abc"]).round(6).tolist() == [1.0, 0.0, 3.0]
+    rows = spark.createDataFrame(list(enumerate(short + far)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in langid.keep_known(rows, protos, 0.1).collect()) == list(range(len(short)))
+
+
 def test_toxicity_learns_words_and_prefixes(spark, docs, empty):
     rng = random.Random(6)
     clean = [f"w{i}" + "abcdefgh"[i % 8] * 2 for i in range(60)]
