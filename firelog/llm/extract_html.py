@@ -42,6 +42,10 @@ WEIGHTS = {"bias": -0.8, "content_tag": 3.0, "boilerplate_tag": -4.5, "header_in
 # Capacity of an edge between neighbours of distance 0 in the tree, and of one between blocks under one parent.
 NEAR, SIBLING = 1.0, 0.4
 UNIT = 1000
+# Finding the elements around the content: weight of text in an article, of one more boilerplate element around a text,
+# and the shares of the page's text that an element holds, with and without names of boilerplate.
+ARTICLE, MARK = 6.0, 8.0
+MOST, MOST_MARKED = 0.5, 0.8
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)",
                   re.S)
@@ -49,10 +53,12 @@ _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 
 
 class _Node:
-    __slots__ = ("tag", "names", "parent", "depth")
+    __slots__ = ("tag", "names", "parent", "depth", "around")
 
     def __init__(self, tag: str, names: str, parent: _Node | None):
         self.tag, self.names, self.parent = tag, names, parent
+        # whether it holds the page's content: its names, and a form's tag, then say nothing about its text
+        self.around = tag in ("html", "body")
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -134,6 +140,73 @@ def blocks(page: str) -> list[_Block]:
     return out
 
 
+def _marks(node: _Node) -> bool:
+    """Whether an element's tag or names are those of boilerplate."""
+    return not node.around and (node.tag in BOILERPLATE_TAGS or bool(node.names and BOILERPLATE_NAMES.search(node.names)))
+
+
+def find_around(page_blocks: list[_Block]) -> None:
+    """Sets ``around`` on the elements that hold the page's content.
+
+    They are the page's main and article element with all elements around
+    it, or, on a page without, the elements around most of its text. Text in
+    links does not count. An article stands against the text beside it, where
+    each element of boilerplate around either makes it count ``MARK`` times less.
+    """
+    text: dict[_Node, int] = {}
+    beside: dict[_Node, float] = {}
+    marks: dict[_Node | None, int] = {None: 0}
+    plain: dict[_Node, int] = {}  # text outside boilerplate elements other than forms
+    inner: dict[_Node, dict[_Node, None]] = {}
+    for b in page_blocks:
+        up, path = b.node, []
+        while up is not None:
+            path.append(up)
+            up = up.parent
+        for n in reversed(path):
+            if n not in marks:
+                marks[n] = marks[n.parent] + _marks(n)
+                if n.parent is not None:
+                    inner.setdefault(n.parent, {})[n] = None
+        size = len(b.text) - min(b.link_chars, len(b.text))
+        good = size * all(n.tag == "form" or n.tag not in BOILERPLATE_TAGS for n in path)
+        for n in path:
+            text[n] = text.get(n, 0) + size
+            beside[n] = beside.get(n, 0.0) + size * MARK ** -float(marks[b.node])
+            plain[n] = plain.get(n, 0) + good
+    if not page_blocks:
+        return
+    root = top = path[-1]
+    articles = [n for n in text if n.tag in CONTENT_TAGS]
+    while articles:
+        value = {n: ARTICLE * text[n] * MARK ** -float(marks[n]) for n in articles}
+        best = max(articles, key=value.__getitem__)
+        if value[best] < beside[top] - beside[best]:
+            break
+        found = set(BOILERPLATE_NAMES.findall(best.names))
+        for n in inner[best.parent]:  # articles of the same kind
+            if n.tag == best.tag and found.issuperset(BOILERPLATE_NAMES.findall(n.names)):
+                n.around = True
+        top = up = best
+        while up is not None:
+            up.around = True
+            up = up.parent
+        if top.tag == "article":
+            break
+        articles = [n for n in articles if n is not top and _within(n, top)]
+    while top.tag not in CONTENT_TAGS and top in inner:
+        best = max(inner[top], key=plain.__getitem__)
+        if best not in inner or plain[best] <= (MOST_MARKED if _marks(best) else MOST) * plain[root]:
+            break
+        best.around, top = True, best
+
+
+def _within(node: _Node | None, top: _Node) -> bool:
+    while node is not None and node.depth > top.depth:
+        node = node.parent
+    return node is top
+
+
 def block_score(b: _Block) -> float:
     """Classifier's score of a block: above 0 for content."""
     w = WEIGHTS
@@ -144,11 +217,11 @@ def block_score(b: _Block) -> float:
         if up.tag in CONTENT_TAGS:
             content = True
             header = header or (boiler and up.tag == "article")
-        elif up.tag in BOILERPLATE_TAGS:
+        elif up.tag in BOILERPLATE_TAGS and not (up.tag == "form" and up.around):
             boiler = True
         if up.names:
             if BOILERPLATE_NAMES.search(up.names):
-                named = True
+                named = named or not up.around
             elif CONTENT_NAMES.search(up.names):
                 good = True
         up = up.parent
@@ -172,7 +245,7 @@ def any_header(node: _Node) -> bool:
     while node.parent is not None and node.tag != "article":
         if node.tag in ("h1", "h2"):
             heading = True
-        elif node.tag in BOILERPLATE_TAGS and node.tag != "header":
+        elif node.tag in BOILERPLATE_TAGS and node.tag != "header" and not (node.tag == "form" and node.around):
             return False
         node = node.parent
     return heading
@@ -271,6 +344,7 @@ def min_cut(scores: list[int], links: list[tuple[int, int, int]]) -> list[bool]:
 def main_text(page: str) -> str:
     """Main text of one page: its content blocks joined by empty lines."""
     found = blocks(page)
+    find_around(found)
     side = min_cut([round(UNIT * block_score(b)) for b in found], edges(found))
     return "\n\n".join(b.text for b, keep in zip(found, side, strict=True) if keep)
 

@@ -195,6 +195,28 @@ def test_min_cut_and_main_text(spark):
     assert extract_html.extract(pages.limit(0)).count() == 0
 
 
+def test_names_around_the_whole_page_do_not_empty_it():
+    say = lambda n: " ".join(f"word{i}" for i in range(n)) + "."
+    for n in (20, 45, 60, 100):
+        side = "<div class=sidebar><p>Most read this week, by our readers and friends.</p></div><footer><p>All rights are kept.</p></footer>"
+        talk = "<div id=comments><p>I do not agree with any of this at all.</p></div>"
+        inner = f"<p>{say(n)}</p><p>{say(n + 5)}</p>"
+        want = f"{say(n)}\n\n{say(n + 5)}"
+        for head, tail in [("<body class='has-sidebar'>", ""), ("<html class=no-sidebar><body class=nav-open>", ""), ("<body><form id=aspnetForm>", "</form>"),
+                           ("<body><div class='page has-sidebar'><form><div class=menu-open>", "</div></form></div>")]:
+            for tag in ("<article>", "<article class='post comments-open'>", "<main class=no-sidebar><article class=has-sidebar>"):
+                assert extract_html.main_text(f"{head}<nav><a href=/>Home</a></nav>{tag}{inner}</article>{side}{talk}{tail}") == want
+        page = f"<body><div class=has-sidebar><nav><a href=/>Home</a></nav><div id=content>{inner}</div></div><footer><p>All rights are kept.</p></footer>"
+        assert extract_html.main_text(page) == want
+        # names still tell boilerplate that holds articles, or more text than the content
+        cards = "".join(f"<article class=comment><p>I think that {say(12)}</p></article>" for _ in range(4))
+        assert extract_html.main_text(f"<body><article>{inner}</article><section class=comments>{cards}</section>") == want
+        card = "<div class=related><article><p>Read this too, it is new.</p></article></div>"
+        assert extract_html.main_text(f"<body class=has-sidebar><div id=content>{inner}{inner}</div>{card}") == f"{want}\n\n{want}"
+    both = f"<body><article class='post comments-open'><p>{say(20)}</p></article><article class='post comments-open'><p>{say(30)}</p></article>"
+    assert extract_html.main_text(both) == f"{say(20)}\n\n{say(30)}"
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(-3, 4, (700, 6)) / 256 * 40
