@@ -14,7 +14,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,9 @@ from firelog.llm.common import map_slices
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-RAW_TAGS = frozenset("script style noscript template iframe object svg math textarea select button head title".split())
+# Elements whose text ends only at their end tag, and others whose text is left out but which hold elements.
+RAW_TAGS = frozenset("script style iframe textarea head title".split())
+DROPPED_TAGS = frozenset("noscript template object svg math select button".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog header".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -69,17 +71,58 @@ class _Block:
         self.text, self.node, self.link_chars = text, node, link_chars
 
 
+class _Dropped:
+    """An open element of ``DROPPED_TAGS`` and what stood before it: the state to go back to at its end."""
+
+    __slots__ = ("tag", "node", "out", "parts", "linked", "in_link", "inline", "head")
+
+    def __init__(self, tag: str, node: _Node, out: list, parts: list, linked: list, in_link: int, inline: Counter):
+        self.tag, self.node, self.out, self.parts, self.linked, self.in_link, self.inline = tag, node, out, parts, linked, in_link, inline
+        self.head = True  # no block has begun inside
+
+
 def blocks(page: str) -> list[_Block]:
-    """Text blocks of a page in order, character references decoded, white space made single."""
+    """Text blocks of a page in order, character references decoded, white space made single.
+
+    The text of ``DROPPED_TAGS`` is left out up to their end tag. One without
+    an end tag ends with its parent and loses only its text before the first
+    block inside it, so that it does not take the rest of the page.
+    """
     root = node = _Node("", "", None)
+    dropped: list[_Dropped] = []
+    inline: Counter = Counter()  # open elements that are no blocks, since the last open dropped element
     out: list[_Block] = []
     parts: list[str] = []
     linked: list[str] = []
     in_link = 0
     at = 0
 
+    def innermost(test) -> int | None:
+        return next((i for i in range(len(dropped) - 1, -1, -1) if test(dropped[i])), None)
+
+    def leave(depth: int, ended: bool):
+        """Closes the open dropped elements from number ``depth`` on, by the end tag of that one or without."""
+        nonlocal node, out, parts, linked, in_link, inline
+        while len(dropped) > depth:
+            d = dropped.pop()
+            if ended or d.head:
+                out, parts, linked, in_link = d.out, d.parts, d.linked, d.in_link
+                node = d.node if ended else node
+                add(" ")
+            else:
+                inside, rest, rest_linked, at_node = out, parts, linked, node
+                out, parts, linked, node = d.out, d.parts, d.linked, d.node
+                flush()
+                out.extend(inside)
+                parts, linked, node = rest, rest_linked, at_node
+            inline = d.inline
+
     def flush():
         nonlocal parts, linked
+        if dropped and dropped[-1].head:
+            dropped[-1].head = False
+            parts, linked = [], []
+            return
         text = " ".join(html_lib.unescape("".join(parts)).split())
         if text:
             out.append(_Block(text, node, len(" ".join(html_lib.unescape("".join(linked)).split()))))
@@ -102,16 +145,33 @@ def blocks(page: str) -> list[_Block]:
             continue
         tag, closing = tag.lower(), bool(m[1] or m[4])
         attrs = m[3] if m[2] else m[6]
-        if not closing and tag in RAW_TAGS:
-            if attrs.rstrip().endswith("/") and tag in ("svg", "math"):
+        if tag in DROPPED_TAGS:
+            if closing or tag in ("button", "select"):
+                # a button or select ends where the next one begins
+                i = innermost(lambda d: d.tag == tag)
+                if i is not None:
+                    leave(i, closing)
+            if closing or (attrs.rstrip().endswith("/") and tag in ("svg", "math")):
                 continue
+            dropped.append(_Dropped(tag, node, out, parts, linked, in_link, inline))
+            out, parts, linked, inline = [], [], [], Counter()
+            continue
+        if not closing and tag in RAW_TAGS:
             if tag == "head":
                 end = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
                 # a head that never ends: only its own elements are passed over
                 at = end.end() if end else at
             else:
+                if dropped and attrs.rstrip().endswith("/") and dropped[-1].tag in ("svg", "math"):
+                    continue
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                stop = end.start() if end else len(page)
+                # without an end tag it ends with the dropped element it is in
+                out_of = re.compile(rf"</(?:{'|'.join({d.tag for d in dropped})})\b", re.I).search(page, at, stop) if dropped else None
+                if out_of and (not end or re.compile(rf"<{tag}\b", re.I).search(page, out_of.start(), stop)):
+                    at = out_of.start()
+                else:
+                    at = end.end() if end else len(page)
             add(" ")
             continue
         if tag == "br":
@@ -120,22 +180,45 @@ def blocks(page: str) -> list[_Block]:
         if tag == "a":
             in_link = 0 if closing else 1
         if tag not in BLOCK_TAGS:
+            if tag in VOID_TAGS or tag in RAW_TAGS or (not closing and attrs.rstrip().endswith("/")):
+                continue
+            if not closing:
+                inline[tag] += 1
+            elif inline[tag]:
+                inline[tag] -= 1
+            elif dropped:
+                # the end of an element around a dropped one
+                i = innermost(lambda d: d.inline[tag])
+                if i is not None:
+                    leave(i, False)
+                    inline[tag] -= 1
             continue
-        flush()
-        if tag in VOID_TAGS:
+        if tag in ("option", "hr") and dropped and dropped[-1].tag == "select" and dropped[-1].head:
             continue
         if closing:
             up = node
             while up.parent and up.tag != tag:
                 up = up.parent
-            if up.tag == tag and up.parent:
+            found = up.tag == tag and up.parent is not None
+            if found:
+                last = len(dropped)
+                while last and up.depth <= dropped[last - 1].node.depth:
+                    last -= 1
+                leave(last, False)
+            flush()
+            if found:
                 node = up.parent
             continue
-        if node.tag == "p" or (node.tag == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th")):
+        flush()
+        if tag in VOID_TAGS:
+            continue
+        if not (dropped and node is dropped[-1].node) and (
+                node.tag == "p" or (node.tag == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"))):
             node = node.parent or root
         names = " ".join(a or b or c for a, b, c in _NAME.findall(attrs)).lower() if attrs else ""
         node = _Node(tag, names, node)
         in_link = 0
+    leave(0, False)
     flush()
     return out
 

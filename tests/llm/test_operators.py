@@ -217,6 +217,26 @@ def test_names_around_the_whole_page_do_not_empty_it():
     assert extract_html.main_text(both) == f"{say(20)}\n\n{say(30)}"
 
 
+def test_elements_without_an_end_tag_keep_the_rest_of_the_page():
+    say = lambda n: " ".join(f"word{i}" for i in range(n)) + "."
+    opened = ["<button>Menu", "<select><option>One label<option>Two labels", "<object data=x><param name=a>", "<svg viewBox=x><path d=y><text>Icon</text>",
+              "<svg><title>Icon", "<math><mi>x</mi>", "<template>", "<noscript>", "<button>A<button>B", "<svg><style/><title>T</title>"]
+    want = f"{say(20)}\n\n{say(30)}"
+    for tag in opened:
+        end = "</title>" if tag.endswith("Icon") else ""  # raw text of its own kind
+        for head, first in [(f"<body>{tag}{end}<article>", ""), (f"<body><div class=bar>{tag}{end}</div><article>", ""), ("<body><article>", tag + end),
+                            (f"<body><p class=bar><a href=/>{tag}{end}</a></p><article>", ""), ("<body><article>", f"<span>{tag}{end}</span>")]:
+            assert extract_html.main_text(f"{head}{first}<p>{say(20)}</p><p>{say(30)}</p></article><footer>&copy; me</footer>") == want, (head, first)
+    # with their end tag all of their text goes, whatever they hold
+    whole = ["<button><div>Label that is long enough, really.</div></button>", "<object>One.<object>Two, three.</object>Four, five, six.</object>",
+             "<template><p>Text of one.<template>Two.</template></p><p>Three of them, all told.</p></template>", "<svg><title>Icon</svg>", "<svg><svg></svg><text>A b c d.</text></svg>",
+             "<noscript><iframe src=x><p>Please switch it on, now.</p></noscript>", "<select><option>One<option>Two, three.</select>", "<script>if (a < b) '</p><button>'</script>"]
+    for tag in whole:
+        assert extract_html.main_text(f"<article><p>{say(20)}</p>{tag}<p>{say(30)}</p></article>") == want, tag
+        assert extract_html.main_text(f"<article><p>{say(20)[:-8]} {tag} {say(20)[-7:]}</p><p>{say(30)}</p></article>") == want, tag
+    assert extract_html.main_text(f"<article><p>{say(20)}</p><p>{say(30)}</p><script>var x = 1; <p>{say(40)}</p></article>") == want
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(-3, 4, (700, 6)) / 256 * 40
