@@ -26,7 +26,7 @@ from firelog.session import configure, scratch_path
 from firelog.sources.lines import read_log_line_stream
 
 
-# Counters kept of the last micro-batches.
+# Counters kept of the last micro-batches of a stream without end; the totals count all.
 KEPT_COUNTERS = 1000
 
 
@@ -40,21 +40,31 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
                         rejects_path: str | None = None, available_now: bool = True,
                         processing_time: str | None = None,
                         max_files_per_trigger: int | None = None,
-                        classify_all: bool = True) -> StreamingQuery:
+                        classify_all: bool = True,
+                        kept_counters: int | None = KEPT_COUNTERS) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
     ``checkpoint_location`` defaults to a new folder under the session's
     shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all``
-    as in ``firelog.plans.batch.ingest_lines``.
+    as in ``firelog.plans.batch.ingest_lines``. The query's
+    ``firelog_counters`` hold the counters of the last ``kept_counters``
+    micro-batches (None: of all), its ``firelog_totals`` the sums over all
+    and the number of batches.
     """
     configure(spark)
     ckpt = checkpoint_location or scratch_path(spark, "firelog-stream-ckpt")
     lines = read_log_line_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
-    counters: deque[dict] = deque(maxlen=KEPT_COUNTERS)
+    counters: deque[dict] = deque(maxlen=kept_counters)
+    totals: dict[str, int | None] = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         counts, _ = ingest_lines(batch.sparkSession, _number_lines(batch), store_path, order, rejects_path,
                                  classify_all=classify_all)
+        for name, n in counts.items():
+            old = totals.get(name, 0)
+            # what a batch did not count has no total
+            totals[name] = None if n is None or old is None else old + n
+        totals["batches"] += 1
         counts["batch_id"] = batch_id
         counters.append(counts)
 
@@ -64,13 +74,13 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     q = writer.start()
-    q.firelog_counters = counters  # per-batch counters, for callers and tests
+    q.firelog_counters, q.firelog_totals = counters, totals  # for callers and tests
     return q
 
 
 def run_ingest_stream(spark: SparkSession, source_dir: str, store_path: str, **kw) -> list[dict]:
-    """Process all files present now, wait, return per-batch counters."""
-    q = start_ingest_stream(spark, source_dir, store_path, available_now=True, **kw)
+    """Process all files present now, wait, return the counters of every batch."""
+    q = start_ingest_stream(spark, source_dir, store_path, available_now=True, kept_counters=None, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -100,6 +100,22 @@ def test_stream_ingest_and_replay(spark, tmp_dir):
     assert TB.read_log_store(spark, store).count() == 3
 
 
+def test_stream_counts_every_batch(spark, tmp_dir, monkeypatch):
+    from firelog.streaming import ingest_stream as S
+
+    src = f"{tmp_dir}/in"
+    for i in range(3):
+        write_text(src, f"part-000{i}.log", [mk(f"2025-01-05T00:00:0{i}Z")])
+    # as if the cap on kept counters were 2; the default of start_ingest_stream is bound at its definition
+    monkeypatch.setattr(S, "KEPT_COUNTERS", 2)
+    counters = run_ingest_stream(spark, src, f"{tmp_dir}/store", max_files_per_trigger=1)
+    assert len(counters) == 3 and sum(c["inserted"] for c in counters) == 3
+    q = S.start_ingest_stream(spark, src, f"{tmp_dir}/store2", max_files_per_trigger=1, kept_counters=2)
+    q.awaitTermination()
+    assert len(q.firelog_counters) == 2
+    assert (q.firelog_totals["batches"], q.firelog_totals["inserted"], q.firelog_totals["lines_read"]) == (3, 3, 3)
+
+
 def test_json_sink_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string")
     TB.write_json(df, f"{tmp_dir}/out")
