@@ -116,6 +116,7 @@ def _class_table() -> np.ndarray:
 
 
 _CLASSES = _class_table()
+_SPACES = np.array([chr(i).isspace() for i in range(256)])
 N_CLASSES = int(_CLASSES.max()) + 2  # the last one: beyond the text
 
 
@@ -126,8 +127,8 @@ def char_classes(points: np.ndarray) -> np.ndarray:
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows over stretches with a digit or ``@``: (classes n x WINDOW, text index, start in the text).
 
-    A stretch reaches ``STRIDE / 2`` characters to either side; its windows
-    start every ``STRIDE`` characters, so each position but the margins is in
+    A stretch reaches ``STRIDE / 2`` characters to either side, and on to the
+    next white space of the word it begins or ends with; its windows start every ``STRIDE`` characters, so each position but the margins is in
     two of them.
     """
     points, first, last = code_points(texts)
@@ -137,8 +138,13 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.zeros((0, WINDOW), np.int8), np.zeros(0, np.int64), np.zeros(0, np.int64)
     owner = np.searchsorted(first, a, side="right") - 1
     reach = STRIDE // 2
-    lo = np.maximum(a - reach, first[owner])
-    hi = np.minimum(b + reach, last[owner])
+    # the words with the trigger are whole; every text is followed by a line feed
+    place = np.arange(len(points))
+    space = (points < 256) & _SPACES[np.minimum(points, 255)]
+    before = np.maximum.accumulate(np.where(space, place, -1))
+    after = np.minimum.accumulate(np.where(space, place, len(points))[::-1])[::-1]
+    lo = np.maximum(np.minimum(a - reach, before[a] + 1), first[owner])
+    hi = np.minimum(np.maximum(b + reach, after[b]), last[owner])
     new = np.ones(len(a), bool)
     new[1:] = (lo[1:] > hi[:-1]) | (owner[1:] != owner[:-1])
     head = np.flatnonzero(new)

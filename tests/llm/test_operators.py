@@ -157,6 +157,15 @@ def test_pii_base_spans_and_masking(docs, empty):
     assert pii.detect(empty, None).count() == 0 and pii.train(empty) is None
 
 
+def test_pii_windows_hold_whole_words():
+    name = "q" * 60 + "é"
+    for text, a, b in [(f"write to {name}@mail.example.com now", 9, 9 + 61 + 17), (f"{name}@mail.example.com", 0, 78), (f"x {'ab' * 30}7{'cd' * 60}", 2, 183)]:
+        x, owner, start = pii.windows(["plain", text])
+        assert set(owner) == {1} and start.min() <= a and start.max() + pii.WINDOW >= b
+    tail = [s.tolist() for s in pii.windows(["a" * 30 + " b 1 c " + "d" * 30])[1:]]
+    assert tail == [[0], [9]]  # other words are not needed
+
+
 def test_mixing_meets_targets(spark, docs, empty):
     rng = random.Random(8)
     data = spark.createDataFrame([(i, "w " * rng.randint(0, 40), f"s{min(i % 9, 5)}" if i % 10 else None) for i in range(2000)],
