@@ -26,6 +26,14 @@ def small_batches(spark: SparkSession, records: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again (cuts the lineage)."""
     spark = df.sparkSession

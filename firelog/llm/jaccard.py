@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, runs, sliced, small_batches, stored
+from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, runs, sliced, small_batches, stored, unused
 
 WIDTH = 5
 # Similarity 0.8 as a fraction.
@@ -104,7 +104,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     factor = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         rolled = words.copy()
-        for k in range(1, WIDTH):
+        for k in range(1, min(WIDTH, len(words))):
             rolled[: len(words) - k] = rolled[: len(words) - k] * factor + words[k:]
         rolled = mix(rolled + np.uint64(WIDTH))
         out = []
@@ -414,17 +414,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             .agg(F.min(F.struct("r.none", "r.doc_id", "cid", "r.h")).alias("r")).select("r.doc_id", "r.h"))
     repeats = worded.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     named = best.alias("b").join(repeats.alias("t"), F.col("b.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("b.h") == F.col("t.h")), "left")
-    keep = stored(named.select(F.col("b.doc_id").alias("__keep_id"), F.col("b.h").alias("__keep_h"),
-                               F.col("t.k").isNotNull().alias("several")), "jaccard-kept")
+    keep_id, keep_h, many = (unused(docs, c) for c in ("keep_id", "keep_h", "several"))
+    keep = stored(named.select(F.col("b.doc_id").alias(keep_id), F.col("b.h").alias(keep_h), F.col("t.k").isNotNull().alias(many)),
+                  "jaccard-kept")
+    once, several = keep.where(~F.col(many)), keep.where(F.col(many))
     has_words = F.coalesce(docs[text_col].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = (h == F.col("__keep_h")) & key.eqNullSafe(F.col("__keep_id"))
-    out = docs.where(~has_words).unionByName(docs.where(has_words).join(keep.where("not several"), same, "left_semi"))
-    if keep.where("several").limit(1).count() == 0:
+    same = (h == F.col(keep_h)) & key.eqNullSafe(F.col(keep_id))
+    out = docs.where(~has_words).unionByName(docs.where(has_words).join(once, same, "left_semi"))
+    if several.limit(1).count() == 0:
         return out
     # equal (id, text) rows: the least by the hash of all columns that can be hashed, combined per task
     fields = [F.col(f"`{f.name}`") for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
     row_hash = F.xxhash64(*fields, *(f.isNull() for f in fields))
-    repeated = docs.where(has_words).join(keep.where("several"), same, "left_semi")
+    repeated = docs.where(has_words).join(several, same, "left_semi")
     first = (repeated.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.xxhash64(f"`{text_col}`").alias("h"), row_hash.alias("o"),
                              F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
              .groupBy("i", "h").agg(F.min_by("row", "o").alias("row")))

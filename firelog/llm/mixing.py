@@ -190,10 +190,13 @@ def mix(docs: DataFrame, seed: int = 11, shards: int = SHARDS, id_col: str = "do
 def mixed_rows(docs: DataFrame, seed: int = 11, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs``, all columns, once per copy, gathered by shard and shuffled inside it."""
-    d = _decided(docs, plan(docs, seed, shards, id_col, text_col, source_col), seed, id_col, text_col, source_col)
-    one = d.select(*[d[c] for c in docs.columns], "__mix", F.posexplode("__shards").alias("__pass", "__shard"))
+    # the row's own columns travel in a struct, so that no name of theirs meets one of the plan's
+    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), docs[source_col].alias("source"),
+                        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    d = _decided(keyed, plan(keyed, seed, shards), seed, "doc_id", "text", "source")
+    one = d.select("row", "__mix", F.posexplode("__shards").alias("__pass", "__shard"))
     # a shard's rows are spread over several tasks by their hash, so that none grows with the corpus
     parts = F.pmod(_hash(seed + 3, "__mix.place", "__pass"), F.lit(64))
     return (one.repartition("__shard", parts)
             .sortWithinPartitions("__shard", _hash(seed + 4, "__mix.place", "__pass"), "__mix.place")
-            .select(*[one[c] for c in docs.columns]))
+            .select("row.*"))

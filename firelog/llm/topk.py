@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firelog.llm.common import stored
+from firelog.llm.common import stored, unused
 
 K = 5
 SCALE = 256
@@ -166,7 +166,7 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
 
 def _top(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def top_k(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -174,15 +174,16 @@ def top_k(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector
 
     ``is_query`` is a condition on the table. Vectors that are null, empty or
     hold a null or non-finite component, and rows without id, take no part; a
-    query meets vectors of its own length only. Ties go to the smaller id,
-    rows that repeat id and vector count once. An empty table gives an empty
-    result; components beyond ``EXACT`` are multiplied as 64-bit integers.
+    query meets vectors of its own length only. Ties go to the smaller id; a
+    row that repeats id and vector is a candidate of its own, and as a query
+    asks once. An empty table gives an empty result; components beyond ``EXACT`` are multiplied as 64-bit integers.
     """
     spark = table.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row is a block
-    marked = table.withColumn("__is_query", F.coalesce(is_query, F.lit(False)))
-    rows = _vectors(marked, id_col, vector_col).distinct()
-    queries = _vectors(marked.where("__is_query"), id_col, vector_col).distinct()
+    asks = unused(table, "is_query")
+    marked = table.withColumn(asks, F.coalesce(is_query, F.lit(False)))
+    rows = _vectors(marked, id_col, vector_col)
+    queries = _vectors(marked.where(F.col(asks)), id_col, vector_col).distinct()
     rows, queries = stored(rows, "vectors"), stored(queries, "queries")
     shards = stored(_blocks(rows, SHARD_ROWS, rows.count()), "shards").withColumnRenamed("part", "shard")
     blocks = stored(_blocks(queries, BLOCK_QUERIES, queries.count()), "query-blocks").withColumnRenamed("rows", "queries")

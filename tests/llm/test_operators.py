@@ -265,6 +265,21 @@ def test_top_k_against_brute_force(spark):
     assert len(tree.bounds) > 1
 
 
+def test_top_k_ranks_repeated_rows_as_the_sql_does(spark, tmp_path):
+    import duckdb
+
+    from firelog.llm.queries import ORACLE_SQL
+
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(101)] + [(33, [9.0, 9.0])] * 3 + [(48, [9.0, 8.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("is_query", F.lit("x"))
+    table.coalesce(1).write.parquet(str(tmp_path / "embeddings"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    want = sorted(con.execute(ORACLE_SQL["op7_top_k"]).fetchall())
+    got = sorted(tuple(r) for r in topk.top_k(table, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == want and sum(r[2] == 33 for r in got) > 3
+
+
 def test_fingerprints(spark, docs, empty):
     got = fingerprint.fingerprints(docs).collect()
     assert len(got) == 14
@@ -316,6 +331,28 @@ def test_jaccard_components_against_brute_force(spark, docs, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def test_shingles_of_the_smallest_slices(spark):
+    for text in ["", "a", "a b", "a b c", "a b c d", "a b c d e", "a b c d e f"]:
+        n = len(text.split())
+        assert [len(s) for s in jaccard.shingle_sets([text])] == [max(n - 4, min(n, 1))]
+        got = jaccard.join(spark.createDataFrame([(4, text), (2, text.upper())], "doc_id long, text string")).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == ({4: 2, 2: 2} if n else {4: 4, 2: 2})
+    assert [len(s) for s in jaccard.shingle_sets([])] == []
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ["__mix", "__plan", "__copies", "__shards", "__pass", "__shard", "keep_id", "keep_h", "several", "row", "size", "key", "a.b"]
+    docs = spark.createDataFrame([(i, f"{BASE} {i // 2}", "en", f"s{i % 3}", *range(len(names))) for i in range(30)],
+                                 ["doc_id", "text", "lang", "source", *names])
+    mixed = mixing.mixed_rows(docs)
+    assert mixed.schema.names == docs.schema.names
+    assert {tuple(r)[4:] for r in mixed.collect()} == {tuple(range(len(names)))}
+    want = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect() if r["copies"]}
+    assert collections.Counter(r["doc_id"] for r in mixed.collect()) == want
+    kept = jaccard.one_of_each(docs.unionByName(docs)).collect()
+    assert [tuple(r) for r in kept] == [tuple(r) for r in docs.where("doc_id = 0").collect()]
+
+
 def test_one_of_each_with_null_and_repeated_ids(spark):
     text = lambda k: " ".join(f"{k}w{i}" for i in range(50))
     rows = [(None, text("a"), "p"), (None, text("b"), "p"), (None, text("b").upper(), "p"), (None, text("c") + " tail", "p"), (7, text("c"), "p"),
