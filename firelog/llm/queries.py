@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from firelog.llm import extract_html, fingerprint, jaccard, langid, mixing, pii, sentencepiece, tokens, topk, toxicity
+from firelog.llm import extract_html, fingerprint, jaccard, langid, mixing, periodic, pii, sentencepiece, tokens, topk, toxicity
 from firelog.llm.common import read_table
 
 
@@ -70,6 +70,13 @@ def op10_token_counts(spark, sf_dir):
     return tokens.token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of every whole text; every tenth id's text ends in repeated words."""
+    docs = read_table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic.repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.digests(periodic.periodic_runs(texts))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
@@ -81,6 +88,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_top_k": """
