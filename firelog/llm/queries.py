@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import functions as F
 
-from firelog.llm import extract_html, fingerprint, jaccard, langid, mixing, periodic, pii, sentencepiece, tokens, topk, toxicity
+from firelog.llm import extract_html, fingerprint, jaccard, langid, merkle, mixing, periodic, pii, sentencepiece, tokens, topk, toxicity
 from firelog.llm.common import read_table
 
 
@@ -77,6 +79,15 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic.digests(periodic.periodic_runs(texts))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    """Manifest of all documents and the audit of every leaf; where 5 divides the id's crc32 the text was lower-cased."""
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate(F.col("text"), ascii_uppercase, ascii_lowercase)
+    leaves = merkle.leaves(docs, ["doc_id", "source", "lang", "n_chars", "text"], altered={"text": lowered}, where=_part("doc_id", 5) == 0)
+    audited = merkle.audit(merkle.build(leaves))
+    return audited.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
@@ -89,6 +100,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_top_k": """
@@ -103,4 +115,52 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5""",
+    "op12_merkle_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, text, lang, n_chars, 4294967295::BIGINT::UBIGINT AS ones, CAST(doc_id AS VARCHAR) AS id FROM documents),
+        c AS (
+            -- crc32 of the id's decimal digits, bit by bit
+            SELECT *, xor(list_reduce(list_transform(range(1, length(id) + 1), lambda i: CAST(ascii(substr(id, CAST(i AS INTEGER), 1)) AS UBIGINT)),
+                lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT)),
+                ones), ones) AS h FROM d),
+        t AS (SELECT *, h % 5 = 0 AS tampered, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM c),
+        f AS (
+            SELECT doc_id, source, tampered, text, lowered,
+                concat(coalesce(concat(strlen(id), ':', id), '-'), coalesce(concat(strlen(source), ':', source), '-'),
+                       coalesce(concat(strlen(lang), ':', lang), '-'), coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-')) AS head
+            FROM t),
+        leaves AS (
+            SELECT row_number() OVER () AS leaf_no, doc_id, source, coalesce(tampered, false) AS tampered,
+                sha256(concat(head, coalesce(concat(strlen(text), ':', text), '-'))) AS leaf,
+                sha256(concat(head, coalesce(concat(strlen(lowered), ':', lowered), '-'))) AS altered,
+                dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM f),
+        low AS (
+            SELECT tree, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                count(*) OVER (PARTITION BY tree) AS n, leaf AS hash, leaf_no FROM leaves),
+        up AS (
+            SELECT tree, level, pos, n, hash FROM low
+            UNION ALL
+            SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM up WHERE n > 1
+            GROUP BY tree, level, pos // 16, (n + 15) // 16),
+        top AS (
+            SELECT -1 AS tree, 0 AS level, tree AS pos, count(*) OVER () AS n, hash FROM up WHERE n = 1
+            UNION ALL
+            SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM top WHERE n > 1
+            GROUP BY tree, level, pos // 16, (n + 15) // 16),
+        runs AS (
+            SELECT tree, level, pos // 16 AS run, n, list(hash ORDER BY pos) AS kids
+            FROM (SELECT * FROM up UNION ALL SELECT * FROM top) GROUP BY tree, level, pos // 16, n),
+        climb AS (
+            SELECT l.leaf_no, l.tree AS own, l.tree, 0 AS level, l.pos, l.n, if(v.tampered, v.altered, v.leaf) AS folded, '' AS proof
+            FROM low l JOIN leaves v USING (leaf_no)
+            UNION ALL
+            SELECT c.leaf_no, c.own, if(c.n = 1, -1, c.tree), if(c.n = 1, 0, c.level + 1), if(c.n = 1, c.own, c.pos // 16),
+                if(c.n = 1, (SELECT count(*) FROM top WHERE level = 0), (c.n + 15) // 16),
+                if(c.n = 1, c.folded, sha256(concat(array_to_string(r.kids[1:c.pos % 16], ''), c.folded, array_to_string(r.kids[c.pos % 16 + 2:], '')))),
+                if(c.n = 1, c.proof, concat(c.proof, array_to_string(r.kids[1:c.pos % 16], ''), array_to_string(r.kids[c.pos % 16 + 2:], '')))
+            FROM climb c JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.pos // 16
+            WHERE c.n > 1 OR c.tree <> -1)
+        SELECT v.doc_id, v.leaf, s.hash AS subroot, r.hash AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = r.hash AS verified
+        FROM climb c JOIN leaves v USING (leaf_no) JOIN up s ON s.tree = v.tree AND s.n = 1 JOIN top r ON r.n = 1
+        WHERE c.tree = -1 AND c.n = 1""",
 }
