@@ -126,13 +126,13 @@ ORACLE_SQL: dict[str, str] = {
         t AS (SELECT *, h % 5 = 0 AS tampered, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM c),
         f AS (
             SELECT doc_id, source, tampered, text, lowered,
-                concat(coalesce(concat(strlen(id), ':', id), '-'), coalesce(concat(strlen(source), ':', source), '-'),
-                       coalesce(concat(strlen(lang), ':', lang), '-'), coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-')) AS head
+                concat(coalesce(strlen(id) || ':' || id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                       coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head
             FROM t),
         leaves AS (
             SELECT row_number() OVER () AS leaf_no, doc_id, source, coalesce(tampered, false) AS tampered,
-                sha256(concat(head, coalesce(concat(strlen(text), ':', text), '-'))) AS leaf,
-                sha256(concat(head, coalesce(concat(strlen(lowered), ':', lowered), '-'))) AS altered,
+                sha256(concat(head, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+                sha256(concat(head, coalesce(strlen(lowered) || ':' || lowered, '-'))) AS altered,
                 dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM f),
         low AS (
             SELECT tree, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
