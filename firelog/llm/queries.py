@@ -6,7 +6,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import functions as F
 
-from firelog.llm import extract_html, fingerprint, jaccard, langid, merkle, mixing, periodic, pii, sentencepiece, tokens, topk, toxicity
+from firelog.llm import extract_html, fingerprint, jaccard, langid, merkle, mixing, periodic, pii, sentencepiece, tokens, topk, toxicity, warc
 from firelog.llm.common import read_table
 
 
@@ -88,6 +88,11 @@ def op12_merkle_manifest(spark, sf_dir):
     return audited.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_warc(spark, sf_dir):
+    """All pages written as WARC archives and read back."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
@@ -101,6 +106,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_warc": op13_warc,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_top_k": """
@@ -163,4 +169,15 @@ ORACLE_SQL: dict[str, str] = {
         SELECT v.doc_id, v.leaf, s.hash AS subroot, r.hash AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = r.hash AS verified
         FROM climb c JOIN leaves v USING (leaf_no) JOIN up s ON s.tree = v.tree AND s.n = 1 JOIN top r ON r.n = 1
         WHERE c.tree = -1 AND c.n = 1""",
+    "op13_warc": """
+        WITH p AS (
+            SELECT row_number() OVER () AS row_no, page_id, coalesce(html, '') AS payload FROM pages),
+        d AS (
+            SELECT *, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+        r AS (
+            SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS holder
+            FROM d WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, row_no))
+        SELECT page_id, payload_bytes, payload_digest,
+            if(place = 1 OR payload_bytes < 1000, 'response', 'revisit') AS record_type,
+            if(place = 1 OR payload_bytes < 1000, NULL, holder) AS refers_to FROM r""",
 }
