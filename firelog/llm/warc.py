@@ -129,7 +129,7 @@ def write_warc(records: DataFrame, folder: str, date: str = DATE, roll_bytes: in
                 if out is None:
                     fs.create_dir(inner, recursive=True)
                     name = f"{uuid.uuid4().hex}.warc.gz"
-                    out, path, n, size = fs.open_output_stream(f"{inner}/{name}"), f"{folder}/{name}", 0, 0
+                    out, path, n, size = fs.open_output_stream(f"{inner}/{name}", compression=None), f"{folder}/{name}", 0, 0
                     size += out.write(record_bytes([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date),
                                                     ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
                 size += out.write(page_record(r["record_type"], r["record_id"], r["refers_to"], r["url"], r["size"], r["digest"], r["payload"], date))

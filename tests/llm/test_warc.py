@@ -4,7 +4,6 @@ import gzip
 import hashlib
 import io
 import random
-from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +61,21 @@ def written(spark, tmp_path_factory):
     return folder, rows, files
 
 
-@pytest.mark.parametrize("split", [1, 97, 5000, 1 << 30])
+def test_ranges_of_one_byte(written):
+    path = written[2].first()["path"]
+    with open(path, "rb") as f:
+        raw = f.read()
+    read = lambda p: raw[p:p + 61]
+    whole = list(warc.members(read, 0, len(raw)))
+    assert len(whole) > 2
+    for width in (1, 2, 3, 97):
+        assert [m for a in range(0, len(raw), width) for m in warc.members(read, a, min(a + width, len(raw)))] == whole
+
+
+@pytest.mark.parametrize("split", [3000, 1 << 30])
 def test_ranges_of_any_size_give_every_record_once(spark, written, split):
     folder, rows, files = written
-    if split == 1:
-        files = files.limit(1)
-    assert split == 1 or files.count() > 2
+    assert files.count() > 2
     got = warc.read_warc(files, split_bytes=split).cache()
     pages = got.where("record_type <> 'warcinfo'")
     assert pages.count() == files.agg(F.sum("records")).first()[0] and got.where("record_type = 'warcinfo'").count() == files.count()
@@ -77,15 +85,14 @@ def test_ranges_of_any_size_give_every_record_once(spark, written, split):
         assert (r["payload_bytes"], r["payload_digest"]) == (len(want), hashlib.sha1(want).hexdigest())
         assert r["payload"] == (want if r["record_type"] == "response" else None)
         assert r["url"] == (f"http://h/{r['page_id']}" if r["page_id"] < 300 else None)
-    if split > 1:
-        holder = pages.where("record_type = 'response'").select("record_id")
-        assert pages.where("record_type = 'revisit'").join(holder, F.col("refers_to") == holder["record_id"]).count() == 19
+    holder = pages.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"))
+    assert pages.where("record_type = 'revisit'").join(holder, "refers_to").count() == 19
     got.unpersist()
 
 
 def test_archives_are_plain_gzip_and_read_from_their_folder(spark, written):
     folder, rows, files = written
-    listed = warc.archives(spark, quote(folder) if False else folder)
+    listed = warc.archives(spark, folder)
     assert listed.count() == files.count()
     assert warc.read_warc(listed, with_payload=False).where("record_type in ('response', 'revisit')").count() == len(rows)
     for r in files.collect():
@@ -107,7 +114,7 @@ def test_false_magic_nested_archives_and_damaged_members(spark, tmp_path):
     cut = warc.page_record("response", "urn:x-page:99:0", None, "u", 9, hashlib.sha1(noise).hexdigest(), noise, warc.DATE)[:-200]
     (tmp_path / "x.warc.gz").write_bytes(raw + cut)
     (tmp_path / "empty.warc.gz").write_bytes(b"")
-    for split in (64, 300, 1000, 1 << 20):
+    for split in (700, 1 << 20):
         got = warc.read_warc(warc.archives(spark, str(tmp_path)), split_bytes=split).select(warc.page_id_of("record_id"), "payload").collect()
         assert sorted((r[0], bytes(r[1])) for r in got) == list(enumerate(payloads))
     read = lambda p: raw[p:p + 50]
