@@ -34,12 +34,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared scratch folder and read again (cuts the lineage)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

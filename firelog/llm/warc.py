@@ -94,7 +94,7 @@ def page_records(pages: DataFrame, min_revisit: int = MIN_REVISIT_BYTES, id_col:
     payload = F.coalesce(pages[html_col].cast("string"), F.lit("")).cast("binary")
     rows = stored(pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), payload.alias("payload"),
                                F.octet_length(payload).cast("long").alias("size"), F.sha1(payload).alias("digest"),
-                               F.monotonically_increasing_id().alias("rid")), "warc-pages")
+                               F.monotonically_increasing_id().alias("rid")), "warc-pages", "zstd")
     record = lambda i, r: F.concat(F.lit("urn:x-page:"), F.coalesce(i.cast("string"), F.lit("-")), F.lit(":"), r.cast("string"))
     narrow = rows.where(F.col("size") >= min_revisit).select("page_id", "digest", "rid", F.shiftright("rid", 33).alias("part"))
     spans = narrow.groupBy("part", "digest").agg(F.max(F.struct("page_id", "rid")).alias("best"), F.count(F.lit(1)).alias("n"))
