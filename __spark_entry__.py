@@ -27,7 +27,10 @@ from firelog.plans import batch as PB
 from firelog.plans import reports as PR
 from firelog.session import configure, scratch_path
 from firelog.sources import fixtures as FX
+from firelog.sources import store as SR
 from firelog.sources import tables as TB
+from firelog.sources.files import delete, names
+from firelog.streaming.ingest_stream import run_ingest_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -235,15 +238,11 @@ def q_attack_trend(spark, sf_dir):
 
 def q_stream_ingest(spark, sf_dir):
     """Fixture log written as text files, ingested by the file stream."""
-    from firelog.session import scratch_path
-    from firelog.sources.tables import read_log_store
-    from firelog.streaming.ingest_stream import run_ingest_stream
-
     src = scratch_path(spark, "stream-src")
     _lines(spark, sf_dir).orderBy("line_no").select("line").write.text(src)
     store = scratch_path(spark, "stream-store")
     run_ingest_stream(spark, src, store)
-    return _store_cols(read_log_store(spark, store))
+    return _store_cols(TB.read_log_store(spark, store))
 
 
 def _text(lines: DataFrame, name: str) -> str:
@@ -261,6 +260,33 @@ def q_ingest_rerun_stored(spark, sf_dir):
     return _store_cols(TB.read_log_store(spark, store))
 
 
+def q_stream_replayed(spark, sf_dir):
+    """Rejected lines after a stream whose last micro-batch was delivered twice: those of one run.
+
+    The log arrives as several files, one per micro-batch. The commit entry of
+    the last batch is removed from the checkpoint, as after a crash before it
+    was written, and the stream is started again.
+    """
+    folder = scratch_path(spark, "replay")
+    src, store, rejects, ckpt = (f"{folder}/{part}" for part in ("src", "store", "rejects", "ckpt"))
+    _lines(spark, sf_dir).repartitionByRange(3, "line_no").sortWithinPartitions("line_no").select("line").write.text(src)
+    for _ in range(2):
+        run_ingest_stream(spark, src, store, checkpoint_location=ckpt, rejects_path=rejects, max_files_per_trigger=1)
+        delete(spark, f"{ckpt}/commits/{[n for n in names(spark, f'{ckpt}/commits') if n.isdigit()][-1]}")
+    return SR.rejects(spark, rejects, store).select("line", "reject_reason")
+
+
+def q_stream_growing_file(spark, sf_dir):
+    """A log file that holds its first half at one run and all of it at the next; each run reads what is new."""
+    lines = _lines(spark, sf_dir)
+    folder = scratch_path(spark, "growing")
+    src, store, ckpt = (f"{folder}/{part}" for part in ("src", "store", "ckpt"))
+    for half in (FX.first_batch(spark, sf_dir, lines), lines):
+        FX.grow(half, src)
+        run_ingest_stream(spark, src, store, checkpoint_location=ckpt, follow=True)
+    return _store_cols(TB.read_log_store(spark, store))
+
+
 def q_logs_page_stored(spark, sf_dir):
     """A page of a stored log, found through the store's day index."""
     store = scratch_path(spark, "page-store")
@@ -341,6 +367,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_ports": q_top_ports,
     "attack_trend": q_attack_trend,
     "stream_ingest": q_stream_ingest,
+    "stream_replayed": q_stream_replayed,
+    "stream_growing_file": q_stream_growing_file,
     "ingest_rerun_stored": q_ingest_rerun_stored,
     "logs_page_stored": q_logs_page_stored,
     "geo_lookup_stored": q_geo_lookup_stored,

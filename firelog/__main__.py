@@ -62,8 +62,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--source", required=True)
     p.add_argument("--store", required=True)
     p.add_argument("--checkpoint")
+    p.add_argument("--rejects")
     p.add_argument("--oldest-first", action="store_true")
     p.add_argument("--flagged-only", action="store_true")
+    p.add_argument("--follow", action="store_true", help="files grow: read the bytes added since the last batch")
+    p.add_argument("--every", help="do not stop: one micro-batch per interval, such as '30 seconds'")
 
     p = sub.add_parser("page")
     p.add_argument("--store", required=True)
@@ -105,11 +108,15 @@ def main(argv: list[str] | None = None) -> int:
                                   long_lines="fail" if args.fail_on_long_lines else "keep")
         _print_rows(B.summary_frame(spark, counts))
     elif args.cmd == "stream":
-        from firelog.streaming.ingest_stream import run_ingest_stream
+        from firelog.streaming.ingest_stream import run_ingest_stream, start_ingest_stream
 
-        for c in run_ingest_stream(spark, args.source, args.store, checkpoint_location=args.checkpoint,
-                                   order=order, classify_all=not args.flagged_only):
-            print(json.dumps(c, default=str))
+        kw = dict(checkpoint_location=args.checkpoint, order=order, rejects_path=args.rejects,
+                  classify_all=not args.flagged_only, follow=args.follow)
+        if args.every:
+            start_ingest_stream(spark, args.source, args.store, available_now=False, processing_time=args.every, **kw).awaitTermination()
+        else:
+            for c in run_ingest_stream(spark, args.source, args.store, **kw):
+                print(json.dumps(c, default=str))
     elif args.cmd == "page":
         from firelog.plans.reports import logs_page
 

@@ -101,15 +101,20 @@ def restrict_store_to(store: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def insert_if_absent(rows: DataFrame, store: DataFrame | None = None, order: str = "newest",
-                     order_col: str = "line_no", dedupe: bool = True) -> DataFrame:
+                     order_col: str = "line_no", dedupe: bool = True, buckets: int | None = None) -> DataFrame:
     """New store rows of a batch: within-batch winner, minus keys already stored.
 
-    The anti-join keys equal the dedupe keys, so the deduplicated side keeps
-    its hash partitioning and only the store side is shuffled.
+    ``buckets`` is the number of buckets of a store that is bucketed on the
+    key: the winners are dealt into as many partitions and meet the stored
+    keys where they lie (the date follows from the key's timestamp). Without
+    it the anti-join keys equal the dedupe keys, so the deduplicated side
+    keeps its hash partitioning and only the store side is shuffled.
     """
     batch = dedupe_batch(rows, order, order_col) if dedupe else rows
     if store is None:
         return batch
+    if buckets:
+        return batch.repartition(buckets, *S.LOG_KEY).join(store.select(*S.LOG_KEY), list(S.LOG_KEY), "left_anti")
     keys = [*S.LOG_KEY, S.LOG_PARTITION]
     existing = store.select(*keys)
     return batch.join(existing, keys, "left_anti")

@@ -13,12 +13,17 @@ Plan of one run (``run_ingest``):
    there, and a lost executor only re-runs its own scan tasks;
 3. rejected rows -> rejects table (optional);
 4. accepted rows -> per-key winner (one hash shuffle on the key, partially
-   aggregated per task) -> anti-join with the store restricted to the
-   staging's date range (runtime partition pruning) -> append.
+   aggregated per task) -> the winners dealt into the store's buckets ->
+   anti-join with the stored keys of the staging's days, bucket by bucket (the
+   stored side is not shuffled) -> written under the batch's id;
+5. rows, rejects and counters become visible together, when the ledger names
+   the batch (``sources.store``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,16 +33,12 @@ from firelog.operators import ingest as I
 from firelog.operators.fence import fence
 from firelog.operators.triage import flagged_candidates, parse_lines
 from firelog.session import configure, scratch_path
+from firelog.sources import store as ST
 from firelog.sources import tables as TB
+from firelog.sources.files import delete
 from firelog.sources.lines import read_log_lines
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def _observed(observation: Observation) -> dict:
     """Observed values; none where adaptive execution saw that there are no rows and left the observation out."""
     return observation.get if observation._jo.getRow().length() else {}
@@ -45,9 +46,13 @@ def _observed(observation: Observation) -> dict:
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order: str = "newest",
                  rejects_path: str | None = None, keep_staging: bool = False,
-                 classify_all: bool = True) -> dict[str, int]:
+                 classify_all: bool = True, batch: str | None = None, buckets: int | None = None) -> tuple[dict, DataFrame | None]:
     """Ingest one batch of ``(line_no, line)`` into the store at ``store_path``.
 
+    ``batch`` names the batch in the store's ledger (default: a new name). A
+    batch that is committed already is not run again: its counters are
+    returned as they were. ``buckets`` is used when the store is made.
+
     Returns the run counters (lines_read, malformed, benign, flagged,
     errors, inserted, duplicates -- all observed while the staging table and
     the store are written, no extra pass) and ``staging`` (path of the
@@ -60,6 +65,11 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     of the per-line work.
     """
     configure(spark)
+    batch = batch or f"run-{uuid.uuid4().hex}"
+    known = ST.committed_counters(spark, store_path, batch)
+    if known is not None:
+        return dict(known), None
+    n_buckets = ST.start_batch(spark, store_path, batch, buckets, (rejects_path,) if rejects_path else ())
     cls = F.col("line_class")
     obs_lines = Observation("firelog_lines")
     if classify_all:
@@ -87,46 +97,44 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
     )
 
     staging = scratch_path(spark, "firelog-staging")
-    rows.write.mode("errorifexists").parquet(staging)
-    staged = spark.read.parquet(staging)
-
-    if rejects_path:
-        TB.append_rejects(I.rejected(staged), rejects_path)
-
-    acc = I.accepted(staged)
-    store = TB.read_log_store(spark, store_path)
-    if store is not None:
-        store = I.restrict_store_to(store, acc)
-    new_rows = I.insert_if_absent(acc, store, order)
-    obs_new = Observation("firelog_inserted")
-    new_rows = new_rows.observe(obs_new, F.count(F.lit(1)).alias("inserted"))
-    TB.append_log_store(new_rows, store_path)
-    TB.refresh_day_index(spark, store_path, I.days_of(acc))
-
-    counts = dict(obs_lines.get)
-    if not classify_all:
-        counts.update(flagged=obs_flagged.get.get("flagged", 0), malformed=None, benign=None)
-    totals = obs_rows.get
-    counts["errors"] = totals["errors"]
-    counts["inserted"] = _observed(obs_new).get("inserted", 0)
-    counts["duplicates"] = totals["accepted"] - counts["inserted"]
-    counts["processed"] = counts["flagged"]
+    try:
+        rows.write.mode("errorifexists").parquet(staging)
+        staged = spark.read.parquet(staging)
+        if rejects_path:
+            ST.write_rejects(I.rejected(staged), rejects_path, batch)
+        acc = I.accepted(staged)
+        new_rows = I.insert_if_absent(acc, I.restrict_store_to(ST.read_log_store(spark, store_path), acc), order, buckets=n_buckets)
+        obs_new = Observation("firelog_inserted")
+        ST.write_rows(new_rows.observe(obs_new, F.count(F.lit(1)).alias("inserted")), store_path, batch)
+
+        counts = dict(obs_lines.get)
+        if not classify_all:
+            counts.update(flagged=obs_flagged.get.get("flagged", 0), malformed=None, benign=None)
+        totals = obs_rows.get
+        counts["errors"] = totals["errors"]
+        counts["inserted"] = _observed(obs_new).get("inserted", 0)
+        counts["duplicates"] = totals["accepted"] - counts["inserted"]
+        counts["processed"] = counts["flagged"]
+        ST.commit(spark, store_path, batch, counts)
+    except BaseException:
+        delete(spark, staging)
+        raise
     if keep_staging:
         counts["staging"] = staging
         return counts, staged
-    _delete(spark, staging)
+    delete(spark, staging)
     return counts, None
 
 
 def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str, order: str = "newest",
                rejects_path: str | None = None, classify_all: bool = True,
-               long_lines: str = "keep") -> dict[str, int]:
+               long_lines: str = "keep", batch: str | None = None, buckets: int | None = None) -> dict[str, int]:
     """Read log text files and ingest them (see module docstring).
 
     ``long_lines='fail'`` stops the run at the first line beyond 64 KiB.
     """
     lines = read_log_lines(spark, log_path, long_lines=long_lines)
-    counts, _ = ingest_lines(spark, lines, store_path, order, rejects_path, classify_all=classify_all)
+    counts, _ = ingest_lines(spark, lines, store_path, order, rejects_path, classify_all=classify_all, batch=batch, buckets=buckets)
     return counts
 
 
@@ -153,8 +161,8 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
         F.count_if(F.col("geo_error").isNull()).alias("geo_completed"),
         F.count_if(F.col("geo_error").isNotNull()).alias("geo_errors"),
     ).first()
-    _delete(spark, fetched_path)
-    _delete(spark, cands_path)
+    delete(spark, fetched_path)
+    delete(spark, cands_path)
     counts = c.asDict()
     counts["geo_queued"] = counts["geo_candidates"] - counts["geo_completed"] - counts["geo_errors"]
     return counts
@@ -170,7 +178,7 @@ def run(spark: SparkSession, log_path: str | list[str], store_path: str, answers
                                   classify_all=classify_all)
     staging = counts.pop("staging")
     counts.update(run_enrichment(spark, staged, geo_in, answers, geo_out, as_of))
-    _delete(spark, staging)
+    delete(spark, staging)
     return counts
 
 

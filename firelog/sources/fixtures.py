@@ -171,3 +171,30 @@ def first_batch(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame
 
     n = read_table(spark, sf_dir, "events").select(F.count("*")).scalar()
     return lines.where(F.col("line_no") < n)
+
+
+# Lines of one log file of ``grow``.
+FILE_LINES = 50_000
+
+
+def grow(lines: DataFrame, folder: str) -> int:
+    """``lines`` as log files of ``FILE_LINES`` lines each, every file written whole; the number of lines.
+
+    Called with more lines of the same log, the last file becomes longer and
+    files are added, as a log grows.
+    """
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from firelog.sources.growing import open_fs
+
+    def write(key, table):
+        fs, inner = open_fs(folder)
+        fs.create_dir(inner, recursive=True)
+        text = table.sort_by("line_no").column("line").to_pylist()
+        with fs.open_output_stream(f"{inner}/firewall-{key[0].as_py():09d}.log") as out:
+            out.write("".join(f"{t}\n" for t in text).encode())
+        return pa.table({"n": pa.array([len(text)], pa.int64())})
+
+    numbered = lines.select("line_no", "line", F.floor(F.col("line_no") / FILE_LINES).cast("long").alias("file"))
+    return numbered.groupBy("file").applyInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

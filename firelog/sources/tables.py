@@ -1,9 +1,4 @@
-"""Stored tables: the log store, the geo table, provider answers, JSON out.
-
-The log store is Parquet partitioned by ``log_date`` and only ever
-appended to. The geo table is small and rewritten as a new version on each
-merge (a path being read is never overwritten).
-"""
+"""Stored tables: the geo table, provider answers, JSON out; the log store's reads (see ``sources.store``)."""
 
 from __future__ import annotations
 
@@ -12,75 +7,9 @@ from pyspark.sql import functions as F
 
 from firelog import schemas as S
 from firelog.session import path_exists
+from firelog.sources.store import read_day_index, read_log_store
 
-
-def read_log_store(spark: SparkSession, path: str) -> DataFrame | None:
-    """The log store, or None if nothing was written yet."""
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(_store_read_schema()).parquet(path)
-
-
-def _store_read_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType([*S.LOG_SCHEMA.fields, T.StructField(S.LOG_PARTITION, T.DateType(), True)])
-
-
-# Rows per output file (~100-200 MB of store rows): a task holding many rows
-# of one day rolls over to a new file instead of writing one huge file.
-MAX_ROWS_PER_FILE = 2_000_000
-
-
-def append_log_store(new_rows: DataFrame, path: str, max_rows_per_file: int = MAX_ROWS_PER_FILE) -> None:
-    """Append rows to the store, one directory per day.
-
-    Rows are rebalanced by day before the write (a large day is split by
-    adaptive execution), so a task writes few days and a day few files;
-    inside a file they are sorted by time.
-    """
-    (new_rows.select(*S.LOG_COLUMNS, S.LOG_PARTITION).hint("rebalance", S.LOG_PARTITION)
-     .sortWithinPartitions(S.LOG_PARTITION, "timestamp")
-     .write.mode("append").option("maxRecordsPerFile", max_rows_per_file)
-     .partitionBy(S.LOG_PARTITION).parquet(path))
-
-
-DAY_INDEX = "_days"
-
-
-def day_index_path(store_path: str) -> str:
-    """Per-day row counts kept next to the store (a ``_`` folder, which the
-    store's partition discovery skips)."""
-    return f"{store_path.rstrip('/')}/{DAY_INDEX}"
-
-
-def append_rejects(rejects: DataFrame, path: str) -> None:
-    """Append rejected lines that are not there yet: one row per line text and reason, also after a replay."""
-    spark, key = rejects.sparkSession, ["line", "reject_reason"]
-    new = rejects.dropDuplicates(key)
-    if path_exists(spark, path):
-        new = new.join(spark.read.parquet(path).select(*key), key, "left_anti")
-    new.select(*rejects.columns).write.mode("append").parquet(path)
-
-
-def refresh_day_index(spark: SparkSession, store_path: str, days) -> None:
-    """Recount the store's rows for ``days`` (a Column with an array of dates) and replace just those days in the index (dynamic partition
-    overwrite). Counting reads only Parquet footers of the touched days."""
-    store = read_log_store(spark, store_path)
-    if store is None:
-        return
-    counts = (store.where(F.array_contains(days, F.col(S.LOG_PARTITION)))
-              .groupBy(S.LOG_PARTITION).agg(F.count(F.lit(1)).alias("rows")))
-    (counts.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(S.LOG_PARTITION).parquet(day_index_path(store_path)))
-
-
-def read_day_index(spark: SparkSession, store_path: str) -> DataFrame | None:
-    """``(log_date, rows)`` per stored day, or None if no index was written."""
-    path = day_index_path(store_path)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(f"rows BIGINT, {S.LOG_PARTITION} DATE").parquet(path)
+__all__ = ["read_day_index", "read_geo_answers", "read_geo_table", "read_log_store", "write_geo_table", "write_json"]
 
 
 def read_geo_table(spark: SparkSession, path: str | None) -> DataFrame:

@@ -1,20 +1,23 @@
-"""Incremental ingest of log files arriving in a folder (Structured Streaming).
+"""Incremental ingest of log files in a folder (Structured Streaming).
 
 Each micro-batch runs the same ingest as the batch job (triage, rejects,
-per-key winner, anti-join with the store, append). ``foreachBatch`` is
-at-least-once: after a failure between the append and the checkpoint commit
-the batch is delivered again, and the anti-join against the store makes the
-replay add nothing. One writer per store is assumed.
-
-Input files must be complete when they appear (rotated or dated segments);
-a file that keeps growing under the same name is not read again. Lines are
-ordered by (file path, block, position), so file names must sort in time
-order. No watermark is used: a key stays unique for all time, so late lines
-are always checked against the whole store.
+per-key winner, anti-join with the store) under an id of its own, made of the
+stream's checkpoint and the batch's number. ``foreachBatch`` is at-least-once:
+a batch that is delivered again is found in the store's ledger and not run;
+one that failed half way is written anew, and what its first try left is never
+read. Rows, rejects and counters therefore appear once. One writer per store
+is assumed.
+
+Files are either complete when they appear (rotated or dated segments) or,
+with ``follow``, grow: then every batch reads the bytes that were added
+(``sources.growing``). Lines are ordered by (file path, place in the file), so
+file names must sort in time order. No watermark is used: a key stays unique
+for all time, so late lines are always checked against the whole store.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from firelog.plans.batch import ingest_lines
 from firelog.session import configure, scratch_path
+from firelog.sources.growing import read_growing_log_stream
 from firelog.sources.lines import read_log_line_stream
 
 
@@ -41,25 +45,31 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
                         processing_time: str | None = None,
                         max_files_per_trigger: int | None = None,
                         classify_all: bool = True,
-                        kept_counters: int | None = KEPT_COUNTERS) -> StreamingQuery:
+                        kept_counters: int | None = KEPT_COUNTERS,
+                        follow: bool = False, buckets: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
     ``checkpoint_location`` defaults to a new folder under the session's
-    shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all``
-    as in ``firelog.plans.batch.ingest_lines``. The query's
+    shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all`` and
+    ``buckets`` as in ``firelog.plans.batch.ingest_lines``. ``follow`` reads
+    files that grow (``max_files_per_trigger`` does not apply). The query's
     ``firelog_counters`` hold the counters of the last ``kept_counters``
     micro-batches (None: of all), its ``firelog_totals`` the sums over all
     and the number of batches.
     """
     configure(spark)
     ckpt = checkpoint_location or scratch_path(spark, "firelog-stream-ckpt")
-    lines = read_log_line_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
+    stream = "stream-" + hashlib.sha1(ckpt.rstrip("/").encode()).hexdigest()[:16]
+    if follow:
+        lines = read_growing_log_stream(spark, source_dir)
+    else:
+        lines = read_log_line_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
     counters: deque[dict] = deque(maxlen=kept_counters)
     totals: dict[str, int | None] = {"batches": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         counts, _ = ingest_lines(batch.sparkSession, _number_lines(batch), store_path, order, rejects_path,
-                                 classify_all=classify_all)
+                                 classify_all=classify_all, batch=f"{stream}-{batch_id:09d}", buckets=buckets)
         for name, n in counts.items():
             old = totals.get(name, 0)
             # what a batch did not count has no total

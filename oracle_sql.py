@@ -263,6 +263,8 @@ UNION ALL SELECT {geo_cols} FROM new_geo""")
     q["geo_lookup_bulk"] = _with(run_ctes(), lookup + " AND ip_address IN (SELECT source_ip FROM seen)")
     q["table_row_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS row_count FROM {t}" for t in TABLES)
     q["ingest_rerun_stored"] = q["ingest_incremental"]
+    q["stream_growing_file"] = q["ingest_incremental"]
+    q["stream_replayed"] = f"SELECT line, reject_reason FROM ({q['insert_rejects']}) t"
     q["logs_page_stored"] = q["logs_page_offset"]
     q["geo_lookup_stored"] = q["geo_lookup_bulk"]
     q["answers_from_json"] = q["geo_decode"]

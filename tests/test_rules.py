@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from firelog import schemas as S
 from firelog.operators import geo as G
 from firelog.operators import ingest as I
+from firelog.sources import store as SR
 from firelog.sources import tables as TB
 from firelog.sources.lines import read_log_lines
 
@@ -39,12 +40,14 @@ def test_stray_date_reads_only_its_own_days(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\n]*array_contains", got._jdf.queryExecution().executedPlan().toString())
 
 
-def test_replayed_rejects_are_kept_once(spark, tmp_path):
-    path = str(tmp_path / "rejects")
+def test_rejects_of_a_batch_that_runs_again_are_kept_once(spark, tmp_path):
+    path, store = str(tmp_path / "rejects"), str(tmp_path / "store")
     rows = spark.createDataFrame([(1, "a", "bad"), (2, "a", "bad"), (3, "b", "bad")], "line_no int, line string, reject_reason string")
     for _ in range(2):
-        TB.append_rejects(rows, path)
-    assert sorted(r["line"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+        SR.write_rejects(rows, path, "one")
+    assert SR.rejects(spark, path, store).count() == 0  # not committed yet
+    SR.commit(spark, store, "one", {})
+    assert sorted(r["line"] for r in SR.rejects(spark, path, store).collect()) == ["a", "a", "b"]
 
 
 def test_long_line_is_kept_by_default_and_nothing_is_shuffled(spark, tmp_path):
