@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firelog import schemas as S
@@ -27,6 +27,7 @@ from firelog.plans import batch as PB
 from firelog.plans import reports as PR
 from firelog.session import configure, scratch_path
 from firelog.sources import fixtures as FX
+from firelog.sources import geo_store as GS
 from firelog.sources import store as SR
 from firelog.sources import tables as TB
 from firelog.sources.files import delete, names
@@ -112,33 +113,30 @@ def _existing_geo(spark, sf_dir):
     )
 
 
-def _run(spark, sf_dir, parse_all=False):
+def _enriched(spark, sf_dir, rows=None):
+    """One enrichment run; of the flagged rows (or the log) only the distinct source addresses are written to scratch."""
+    rows = I.store_rows_from_lines(_lines(spark, sf_dir)) if rows is None else rows
+    seen = _stored(G.seen_source_ips(rows), "seen")
+    return G.enrich(seen, _existing_geo(spark, sf_dir), FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
+
+
+def _run(spark, sf_dir):
     """Ingest of the whole log (newest first) + one enrichment run.
 
-    The flagged rows feed both the store and the enrichment; they are
-    written to the shared scratch folder once, as the batch job in
-    ``firelog.plans.batch`` does, so the regex pass runs once.
+    The flagged rows feed both; they are written to the shared scratch folder
+    once, as the batch job in ``firelog.plans.batch`` does, so the regex pass
+    runs once.
     """
-    lines = _lines(spark, sf_dir)
-    if parse_all:
-        # every line is classified (for the counters): parse once, reuse
-        lines = _stored(TR.parse_lines(lines), "parsed")
-        rows = _stored(I.store_rows_from_parsed(lines), "rows")
-    else:
-        rows = _stored(I.store_rows_from_lines(lines), "rows")
-    acc = I.accepted(rows)
-    out = {"rows": rows, "rejected": I.rejected(rows), "accepted": acc,
-           "new_rows": I.insert_if_absent(acc, None, "newest")}
-    geo = G.enrich(rows, _existing_geo(spark, sf_dir), FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
-    return lines, out, geo
+    rows = _stored(I.store_rows_from_lines(_lines(spark, sf_dir)), "rows")
+    return {"rows": rows, "new_rows": I.insert_if_absent(I.accepted(rows), None, "newest")}, _enriched(spark, sf_dir, rows)
 
 
 def q_seen_source_ips(spark, sf_dir):
-    return _run(spark, sf_dir)[2]["seen"]
+    return _enriched(spark, sf_dir)["seen"]
 
 
 def q_geo_candidates(spark, sf_dir):
-    return _run(spark, sf_dir)[2]["candidates"]
+    return _enriched(spark, sf_dir)["candidates"]
 
 
 def q_geo_decode(spark, sf_dir):
@@ -147,12 +145,12 @@ def q_geo_decode(spark, sf_dir):
 
 
 def q_geo_errors(spark, sf_dir):
-    f = _run(spark, sf_dir)[2]["fetched"]
+    f = _enriched(spark, sf_dir)["fetched"]
     return f.where(F.col("geo_error").isNotNull()).select("ip", "geo_error")
 
 
 def q_geo_enrich_run(spark, sf_dir):
-    return _run(spark, sf_dir)[2]["geo"].select(*S.GEO_COLUMNS)
+    return _enriched(spark, sf_dir)["geo"].select(*S.GEO_COLUMNS)
 
 
 def q_geo_upsert(spark, sf_dir):
@@ -162,7 +160,7 @@ def q_geo_upsert(spark, sf_dir):
 
 
 def _store_and_geo(spark, sf_dir):
-    _, out, geo = _run(spark, sf_dir)
+    out, geo = _run(spark, sf_dir)
     return _store_cols(out["new_rows"]), geo["geo"]
 
 
@@ -179,11 +177,11 @@ def q_logs_page_offset(spark, sf_dir):
 
 
 def q_geo_lookup(spark, sf_dir):
-    return R.geo_lookup(_run(spark, sf_dir)[2]["geo"], "10.0.0.1")
+    return R.geo_lookup(_enriched(spark, sf_dir)["geo"], "10.0.0.1")
 
 
 def q_geo_lookup_bulk(spark, sf_dir):
-    _, _, geo = _run(spark, sf_dir)
+    geo = _enriched(spark, sf_dir)
     return R.geo_lookup_many(geo["geo"], geo["seen"], "source_ip")
 
 
@@ -204,8 +202,13 @@ def q_table_row_counts(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    parsed, out, geo = _run(spark, sf_dir, parse_all=True)
-    return RP.run_summary(parsed, out["rows"], out["new_rows"], geo["fetched"])
+    """Lines are counted by class while their flagged rows are written; no other copy of them is."""
+    cls, seen = F.col("line_class"), Observation("run_summary_lines")
+    parsed = TR.parse_lines(_lines(spark, sf_dir)).observe(
+        seen, F.count(F.lit(1)).alias("lines_read"), *(F.count_if(cls == c).alias(c) for c in S.LINE_CLASSES))
+    rows = _stored(I.store_rows_from_parsed(parsed), "rows")
+    new_rows = I.insert_if_absent(I.accepted(rows), None, "newest")
+    return RP.run_summary(seen.get, rows, new_rows, _enriched(spark, sf_dir, rows)["fetched"])
 
 
 def q_run_summary(spark, sf_dir):
@@ -289,14 +292,45 @@ def q_stream_growing_file(spark, sf_dir):
 
 def q_logs_page_stored(spark, sf_dir):
     """A page of a stored log, found through the store's day index."""
+    return PR.logs_page(spark, _page_store(spark, sf_dir), limit=20, offset=100)
+
+
+def _page_store(spark, sf_dir):
     store = scratch_path(spark, "page-store")
     PB.ingest_lines(spark, _lines(spark, sf_dir), store)
-    return PR.logs_page(spark, store, limit=20, offset=100)
+    return store
+
+
+def q_logs_page_after(spark, sf_dir):
+    """The page after the hundredth row of a stored log, by its key."""
+    store = _page_store(spark, sf_dir)
+    first = PR.logs_page_after(spark, store, None, 100).collect()  # one page
+    return R.page_text(PR.logs_page_after(spark, store, R.page_key(first[-1]) if len(first) == 100 else None, 20 if len(first) == 100 else 1))
+
+
+def _merged_geo(spark, sf_dir):
+    """A bucketed geo table after an enrichment run over the log's flagged addresses; its path and the addresses."""
+    seen = _stored(G.seen_source_ips(I.store_rows_from_lines(_lines(spark, sf_dir))), "seen")
+    path = scratch_path(spark, "geo-buckets")
+    GS.merge(_existing_geo(spark, sf_dir), path, buckets=16)
+    PB.run_enrichment_into(spark, seen, path, FX.geo_answers(spark, sf_dir), FX.RUN_AS_OF)
+    return path, seen
+
+
+def q_geo_merge_stored(spark, sf_dir):
+    """The bucketed geo table after a merge that rewrites only the buckets it touches."""
+    return GS.read(spark, _merged_geo(spark, sf_dir)[0]).select(*S.GEO_COLUMNS)
+
+
+def q_geo_lookup_buckets(spark, sf_dir):
+    """Every seen address looked up in the bucketed geo table."""
+    path, seen = _merged_geo(spark, sf_dir)
+    return GS.lookup_many(spark, path, seen, "source_ip")
 
 
 def q_geo_lookup_stored(spark, sf_dir):
     """An enrichment run writes the geo table; every seen address is looked up in it."""
-    rows = _stored(I.store_rows_from_lines(_lines(spark, sf_dir)), "rows")
+    rows = _stored(G.seen_source_ips(I.store_rows_from_lines(_lines(spark, sf_dir))), "rows")
     before, after = scratch_path(spark, "geo-before"), scratch_path(spark, "geo-after")
     TB.write_geo_table(_existing_geo(spark, sf_dir), before)
     PB.run_enrichment(spark, rows, before, FX.geo_answers(spark, sf_dir), after, FX.RUN_AS_OF)
@@ -371,7 +405,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_growing_file": q_stream_growing_file,
     "ingest_rerun_stored": q_ingest_rerun_stored,
     "logs_page_stored": q_logs_page_stored,
+    "logs_page_after": q_logs_page_after,
     "geo_lookup_stored": q_geo_lookup_stored,
+    "geo_merge_stored": q_geo_merge_stored,
+    "geo_lookup_buckets": q_geo_lookup_buckets,
     "answers_from_json": q_answers_from_json,
     "json_sink_round_trip": q_json_sink_round_trip,
     "geo_upsert_duplicates": q_geo_upsert_duplicates,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firelog import schemas as S
@@ -69,6 +69,56 @@ def logs_page(store: DataFrame, limit: object = None, offset: object = None,
     )
 
 
+def _follows(key: dict) -> Column:
+    """Whether a row comes after the row with this unique key: timestamps descend, the rest ascends, null first."""
+    def beyond(c: str) -> Column:
+        if c == "timestamp":
+            return F.col(c) < F.lit(key[c])
+        return F.col(c).isNotNull() if key[c] is None else F.col(c) > F.lit(key[c])
+
+    cond = beyond(S.LOG_KEY[-1])
+    for c in reversed(S.LOG_KEY[:-1]):
+        cond = beyond(c) | (F.col(c).eqNullSafe(F.lit(key[c])) & cond)
+    return cond
+
+
+def logs_page_after(store: DataFrame, after: dict | None = None, limit: object = None,
+                    day_counts: DataFrame | None = None) -> DataFrame:
+    """The next ``limit`` rows after the row with the unique key ``after`` (None: from the newest), with all key columns.
+
+    The order is that of ``logs_page``; the last row's key asks for the next
+    page. What lies before the key is not read: its day and time bound the
+    scan from above, and with ``day_counts`` (the store's day index) the
+    oldest day that can still be needed bounds it from below, so a page far
+    down costs what the first one costs. The key's row need not exist.
+    ``after`` holds the timestamp as a ``datetime`` without zone; bad limits
+    read as in ``page_params``.
+    """
+    lim, _ = page_params(limit)
+    src = store
+    if after is not None:
+        day = F.lit(after["timestamp"].date())
+        src = store.where((F.col(S.LOG_PARTITION) <= day) & (F.col("timestamp") <= F.lit(after["timestamp"])) & _follows(after))
+        if day_counts is not None:
+            # the key's own day may be used up: its rows count for nothing
+            day_counts = day_counts.where(F.col(S.LOG_PARTITION) <= day).withColumn(
+                "rows", F.when(F.col(S.LOG_PARTITION) == day, F.lit(0)).otherwise(F.col("rows")))
+    if day_counts is not None:
+        src = newest_dates_needed(src, lim, day_counts)
+    ordered = src.orderBy(F.col("timestamp").desc(), *[F.col(c).asc() for c in S.LOG_KEY[1:]]).limit(lim)
+    return ordered.select(*S.LOG_KEY, "action")
+
+
+def page_key(row) -> dict:
+    """Key of a row of ``logs_page_after``, to ask for what follows it."""
+    return {c: row[c] for c in S.LOG_KEY}
+
+
+def page_text(page: DataFrame) -> DataFrame:
+    """Rows of ``logs_page_after`` as ``logs_page`` shows them."""
+    return page.select(timestamp_text(F.col("timestamp")).alias("timestamp"), *PAGE_COLUMNS[1:])
+
+
 GEO_LOOKUP_COLUMNS = ("ip", "country", "region", "city", "isp", "latitude", "longitude")
 
 

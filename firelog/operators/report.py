@@ -26,11 +26,12 @@ def _metric(df: DataFrame, **aggs) -> DataFrame:
     ])).alias("m")).select("m.metric", "m.value")
 
 
-def run_summary(parsed: DataFrame, rows: DataFrame, new_rows: DataFrame,
+def run_summary(parsed: DataFrame | dict[str, int], rows: DataFrame, new_rows: DataFrame,
                 fetched: DataFrame | None = None) -> DataFrame:
     """``(metric, value)`` counters of one run, in summary order.
 
-    ``parsed``: all lines with ``line_class``; ``rows``: flagged lines as
+    ``parsed``: all lines with ``line_class``, or their counts by class as
+    they were observed; ``rows``: flagged lines as
     store rows with ``reject_reason``; ``new_rows``: rows inserted;
     ``fetched``: geo lookups with ``geo_error``. Identities: lines_read =
     malformed + benign + flagged; flagged = processed = inserted + errors +
@@ -38,9 +39,13 @@ def run_summary(parsed: DataFrame, rows: DataFrame, new_rows: DataFrame,
     geo_errors.
     """
     cls = F.col("line_class")
+    if isinstance(parsed, dict):
+        told = rows.sparkSession.createDataFrame(list(parsed.items()), "metric string, value bigint")
+    else:
+        told = _metric(parsed, lines_read=F.count("*"), flagged=F.count_if(cls == "flagged"),
+                       benign=F.count_if(cls == "benign"), malformed=F.count_if(cls == "malformed"))
     parts = [
-        _metric(parsed, lines_read=F.count("*"), flagged=F.count_if(cls == "flagged"),
-                benign=F.count_if(cls == "benign"), malformed=F.count_if(cls == "malformed")),
+        told,
         _metric(new_rows, inserted=F.count("*")),
         _metric(rows, errors=F.count_if(F.col("reject_reason").isNotNull()),
                 processed=F.count("*"), accepted_=F.count_if(F.col("reject_reason").isNull())),

@@ -33,6 +33,7 @@ from firelog.operators import ingest as I
 from firelog.operators.fence import fence
 from firelog.operators.triage import flagged_candidates, parse_lines
 from firelog.session import configure, scratch_path
+from firelog.sources import geo_store as GS
 from firelog.sources import store as ST
 from firelog.sources import tables as TB
 from firelog.sources.files import delete
@@ -138,6 +139,16 @@ def run_ingest(spark: SparkSession, log_path: str | list[str], store_path: str,
     return counts
 
 
+def _geo_counts(fetched: DataFrame) -> dict[str, int]:
+    counts = fetched.agg(
+        F.count(F.lit(1)).alias("geo_candidates"),
+        F.count_if(F.col("geo_error").isNull()).alias("geo_completed"),
+        F.count_if(F.col("geo_error").isNotNull()).alias("geo_errors"),
+    ).first().asDict()
+    counts["geo_queued"] = counts["geo_candidates"] - counts["geo_completed"] - counts["geo_errors"]
+    return counts
+
+
 def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | None, answers: DataFrame,
                    geo_out: str, as_of: str) -> dict[str, int]:
     """Look up the new source addresses of ``flagged_rows`` and write the
@@ -156,15 +167,33 @@ def run_enrichment(spark: SparkSession, flagged_rows: DataFrame, geo_in: str | N
     G.fetch(cands, answers).write.parquet(fetched_path)
     fetched = spark.read.parquet(fetched_path)
     TB.write_geo_table(G.upsert_geo(geo, G.as_geo_rows(fetched, as_of)), geo_out)
-    c = fetched.agg(
-        F.count(F.lit(1)).alias("geo_candidates"),
-        F.count_if(F.col("geo_error").isNull()).alias("geo_completed"),
-        F.count_if(F.col("geo_error").isNotNull()).alias("geo_errors"),
-    ).first()
+    counts = _geo_counts(fetched)
     delete(spark, fetched_path)
     delete(spark, cands_path)
-    counts = c.asDict()
-    counts["geo_queued"] = counts["geo_candidates"] - counts["geo_completed"] - counts["geo_errors"]
+    return counts
+
+
+def run_enrichment_into(spark: SparkSession, flagged_rows: DataFrame, geo_path: str, answers: DataFrame, as_of: str,
+                        buckets: int | None = None) -> dict[str, int]:
+    """Look up the new source addresses of ``flagged_rows`` and merge them into the bucketed geo table at ``geo_path``.
+
+    Only the buckets of seen addresses are read and only those of new rows
+    rewritten (``sources.geo_store``). Counters as ``run_enrichment``, and
+    ``geo_buckets``, the number of buckets rewritten.
+    """
+    configure(spark)
+    GS.create(spark, geo_path, buckets)
+    seen_path, fetched_path = scratch_path(spark, "firelog-geo-seen"), scratch_path(spark, "firelog-geo-fetched")
+    try:
+        G.seen_source_ips(flagged_rows).write.parquet(seen_path)
+        seen = spark.read.parquet(seen_path)
+        G.fetch(G.geo_candidates(seen, GS.read_of(spark, geo_path, seen, "source_ip")), answers).write.parquet(fetched_path)
+        fetched = spark.read.parquet(fetched_path)
+        counts = _geo_counts(fetched)
+        counts["geo_buckets"] = len(GS.merge(G.as_geo_rows(fetched, as_of), geo_path))
+    finally:
+        delete(spark, seen_path)
+        delete(spark, fetched_path)
     return counts
 
 
@@ -190,4 +219,4 @@ def summary_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, value bigint")
 
 
-__all__ = ["ingest_lines", "run_ingest", "run_enrichment", "run", "summary_frame"]
+__all__ = ["ingest_lines", "run_ingest", "run_enrichment", "run_enrichment_into", "run", "summary_frame"]

@@ -13,6 +13,7 @@ from firelog import schemas as S
 from firelog.operators import reads as R
 from firelog.operators import report as RP
 from firelog.session import configure
+from firelog.sources import geo_store as GS
 from firelog.sources import tables as TB
 
 
@@ -59,7 +60,15 @@ def logs_page(spark: SparkSession, store_path: str, limit: object = None, offset
                        day_counts=TB.read_day_index(spark, store_path))
 
 
+def logs_page_after(spark: SparkSession, store_path: str, after: dict | None = None, limit: object = None) -> DataFrame:
+    """The rows of the stored log that follow a key, newest first, with their keys (see ``reads.logs_page_after``)."""
+    configure(spark)
+    return R.logs_page_after(_store(spark, store_path, None, None), after, limit, TB.read_day_index(spark, store_path))
+
+
 def geo_lookup(spark: SparkSession, geo_path: str, ip: str) -> DataFrame:
-    """Attributes of one address from the stored geo table."""
+    """Attributes of one address from the stored geo table, bucketed or one version's files."""
     configure(spark)
+    if GS.exists(spark, geo_path):
+        return GS.lookup(spark, geo_path, ip)
     return R.geo_lookup(TB.read_geo_table(spark, geo_path), ip)

@@ -34,8 +34,9 @@ from firelog.sources.files import delete, names, read_small, write_small
 BATCH = "batch"
 LAYOUT = "_layout.json"
 LEDGER = "_ledger"
-# Buckets of a store that is made without saying how many: about the tasks that one insert runs.
-DEFAULT_BUCKETS = 16
+# Most buckets of a store that is made without saying how many (else the session's shuffle partitions): every batch
+# writes a file per bucket and day, so a store of many days and batches wants few, one with large days as many as tasks.
+MOST_DEFAULT_BUCKETS = 64
 # Rows per output file (~100-200 MB of store rows): a large bucket of one day rolls over to a new file.
 MAX_ROWS_PER_FILE = 2_000_000
 
@@ -56,7 +57,7 @@ def create(spark: SparkSession, path: str, buckets: int | None = None) -> int:
     told = read_small(spark, _join(path, LAYOUT))
     if told is not None:
         return json.loads(told)["buckets"]
-    n = buckets or DEFAULT_BUCKETS
+    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_DEFAULT_BUCKETS)
     write_small(spark, _join(path, LAYOUT), json.dumps({"buckets": n, "bucketed_by": list(S.LOG_KEY)}))
     return n
 

@@ -265,7 +265,8 @@ UNION ALL SELECT {geo_cols} FROM new_geo""")
     q["ingest_rerun_stored"] = q["ingest_incremental"]
     q["stream_growing_file"] = q["ingest_incremental"]
     q["stream_replayed"] = f"SELECT line, reject_reason FROM ({q['insert_rejects']}) t"
-    q["logs_page_stored"] = q["logs_page_offset"]
+    q["logs_page_stored"] = q["logs_page_after"] = q["logs_page_offset"]
+    q["geo_merge_stored"], q["geo_lookup_buckets"] = q["geo_enrich_run"], q["geo_lookup_bulk"]
     q["geo_lookup_stored"] = q["geo_lookup_bulk"]
     q["answers_from_json"] = q["geo_decode"]
     q["json_sink_round_trip"] = q["extract_all_lines"]
