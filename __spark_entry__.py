@@ -29,8 +29,10 @@ from firelog.session import configure, scratch_path
 from firelog.sources import fixtures as FX
 from firelog.sources import geo_store as GS
 from firelog.sources import store as SR
+from firelog.sources import summaries as SM
 from firelog.sources import tables as TB
 from firelog.sources.files import delete, names
+from firelog.streaming import trend_stream as TS
 from firelog.streaming.ingest_stream import run_ingest_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -239,6 +241,36 @@ def q_attack_trend(spark, sf_dir):
     return RP.attack_trend(*_store_and_geo(spark, sf_dir))
 
 
+def q_attack_trend_hourly(spark, sf_dir):
+    """Flagged rows per hour and country, of the hours a day or more before the last time in the log."""
+    return RP.trend_by_window(*_store_and_geo(spark, sf_dir), "1 hour", TS.DELAY)
+
+
+def q_attack_trend_stream(spark, sf_dir):
+    """The same from the log as a stream: event-time windows that the watermark has closed."""
+    lines = _lines(spark, sf_dir)
+    geo = _stored(_enriched(spark, sf_dir)["geo"], "trend-geo")
+    return TS.run_trend_stream(spark, _text(lines, "trend-src"), scratch_path(spark, "trend-out"), geo)
+
+
+def _summarised(spark, sf_dir):
+    """A store with summaries, filled in two batches of which the second repeats the first; their paths."""
+    lines, store, summaries = _lines(spark, sf_dir), scratch_path(spark, "sum-store"), scratch_path(spark, "summaries")
+    for part in (FX.first_batch(spark, sf_dir, lines), lines):
+        PB.ingest_lines(spark, part, store, classify_all=False, summaries_path=summaries)
+    return store, summaries
+
+
+def q_seen_state(spark, sf_dir):
+    """First and last time of every address, kept up to date batch by batch."""
+    return SM.seen_addresses(spark, *_summarised(spark, sf_dir))
+
+
+def q_frequent_sources(spark, sf_dir):
+    """Addresses with more than one in 300 of all stored rows, found by the days' summaries."""
+    return SM.frequent_sources(spark, *_summarised(spark, sf_dir), 300)
+
+
 def q_stream_ingest(spark, sf_dir):
     """Fixture log written as text files, ingested by the file stream."""
     src = scratch_path(spark, "stream-src")
@@ -400,6 +432,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sources": q_top_sources,
     "top_ports": q_top_ports,
     "attack_trend": q_attack_trend,
+    "attack_trend_hourly": q_attack_trend_hourly,
+    "attack_trend_stream": q_attack_trend_stream,
+    "seen_state": q_seen_state,
+    "frequent_sources": q_frequent_sources,
     "stream_ingest": q_stream_ingest,
     "stream_replayed": q_stream_replayed,
     "stream_growing_file": q_stream_growing_file,

@@ -144,6 +144,28 @@ def top_ports(store: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("events").desc(), F.col("destination_port")).limit(k)
 
 
+def country_or_unknown() -> F.Column:
+    return F.when(F.coalesce(F.col("country"), F.lit("")) == "", "unknown").otherwise(F.col("country"))
+
+
+def trend_by_window(store: DataFrame, geo: DataFrame, width: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """Flagged rows per time window and country: ``(window_start, country, events)``.
+
+    With ``delay`` only the windows that end at or before the last time less
+    the delay: those that a stream with this watermark has closed. Counted per
+    (window, address) before the geo join.
+    """
+    timed = store.select(F.col("timestamp").cast("timestamp").alias("event_time"), "source_ip")
+    per_ip = timed.groupBy(F.window("event_time", width).alias("w"), "source_ip").agg(F.count(F.lit(1)).alias("n"))
+    if delay:
+        last = timed.select(F.date_trunc("millisecond", F.max("event_time"))).scalar()
+        per_ip = per_ip.where(F.col("w.end") <= last - F.expr(f"interval {delay}"))
+    dim = geo.select(F.col("ip_address").alias("source_ip"), "country")
+    placed = join_dimension(per_ip, dim, "source_ip", "left")
+    counts = placed.groupBy("w", country_or_unknown().alias("country")).agg(F.sum("n").cast("bigint").alias("events"))
+    return counts.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "country", "events")
+
+
 def attack_trend(store: DataFrame, geo: DataFrame) -> DataFrame:
     """Flagged rows per day and country (``unknown`` when not located).
 
@@ -152,7 +174,6 @@ def attack_trend(store: DataFrame, geo: DataFrame) -> DataFrame:
     per_ip = store.groupBy(S.LOG_PARTITION, "source_ip").agg(F.count("*").alias("n"))
     dim = geo.select(F.col("ip_address").alias("source_ip"), "country")
     j = join_dimension(per_ip, dim, "source_ip", "left")
-    country = F.when(F.coalesce(F.col("country"), F.lit("")) == "", "unknown").otherwise(F.col("country"))
-    return j.groupBy(F.col(S.LOG_PARTITION).alias("date"), country.alias("country")).agg(
+    return j.groupBy(F.col(S.LOG_PARTITION).alias("date"), country_or_unknown().alias("country")).agg(
         F.sum("n").cast("bigint").alias("events")
     )

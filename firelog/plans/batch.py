@@ -35,6 +35,7 @@ from firelog.operators.triage import flagged_candidates, parse_lines
 from firelog.session import configure, scratch_path
 from firelog.sources import geo_store as GS
 from firelog.sources import store as ST
+from firelog.sources import summaries as SM
 from firelog.sources import tables as TB
 from firelog.sources.files import delete
 from firelog.sources.lines import read_log_lines
@@ -47,12 +48,15 @@ def _observed(observation: Observation) -> dict:
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order: str = "newest",
                  rejects_path: str | None = None, keep_staging: bool = False,
-                 classify_all: bool = True, batch: str | None = None, buckets: int | None = None) -> tuple[dict, DataFrame | None]:
+                 classify_all: bool = True, batch: str | None = None, buckets: int | None = None,
+                 summaries_path: str | None = None) -> tuple[dict, DataFrame | None]:
     """Ingest one batch of ``(line_no, line)`` into the store at ``store_path``.
 
     ``batch`` names the batch in the store's ledger (default: a new name). A
     batch that is committed already is not run again: its counters are
     returned as they were. ``buckets`` is used when the store is made.
+    ``summaries_path`` keeps the store's summaries (``sources.summaries``); it
+    must be given for every batch of a store or for none.
 
     Returns the run counters (lines_read, malformed, benign, flagged,
     errors, inserted, duplicates -- all observed while the staging table and
@@ -108,6 +112,8 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store_path: str, order:
         obs_new = Observation("firelog_inserted")
         ST.write_rows(new_rows.observe(obs_new, F.count(F.lit(1)).alias("inserted")), store_path, batch)
 
+        if summaries_path:
+            SM.write_share(spark, store_path, summaries_path, batch)
         counts = dict(obs_lines.get)
         if not classify_all:
             counts.update(flagged=obs_flagged.get.get("flagged", 0), malformed=None, benign=None)

@@ -138,13 +138,17 @@ def write_rows(rows: DataFrame, path: str, batch: str, max_rows_per_file: int =
      .insertInto(_table(spark, path, n)))
 
 
+def written_rows(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """Rows that a batch has written, committed or not."""
+    if not path_exists(spark, _join(path, f"{BATCH}={batch}")):
+        return spark.createDataFrame([], _SCHEMA)
+    return spark.table(_table(spark, path, create(spark, path))).where(F.col(BATCH) == batch)
+
+
 def commit(spark: SparkSession, path: str, batch: str, counters: dict[str, int | None], replaces: list[str] | None = None) -> None:
     """Make a batch visible: its counters, its rows per day and the batches it replaces, in one renamed file."""
-    days = {}
-    if path_exists(spark, _join(path, f"{BATCH}={batch}")):
-        # no column is read: counts come from the file footers of this batch only
-        written = spark.table(_table(spark, path, create(spark, path))).where(F.col(BATCH) == batch)
-        days = {str(r[0]): r[1] for r in written.groupBy(S.LOG_PARTITION).count().collect()}
+    # no column is read: counts come from the file footers of this batch only
+    days = {str(r[0]): r[1] for r in written_rows(spark, path, batch).groupBy(S.LOG_PARTITION).count().collect()}
     write_small(spark, _join(path, LEDGER, f"{batch}.json"), json.dumps(
         {BATCH: batch, "counters": counters, "days": days, "replaces": replaces or []}) + "\n")
 
@@ -167,9 +171,11 @@ def read_day_index(spark: SparkSession, path: str) -> DataFrame | None:
     return per_batch.groupBy(F.to_date("day").alias(S.LOG_PARTITION)).agg(F.sum("rows").alias("rows"))
 
 
-def compact(spark: SparkSession, path: str, batch: str) -> list[str]:
+def compact(spark: SparkSession, path: str, batch: str, summaries: str | None = None) -> list[str]:
     """Rewrite all committed rows as one batch, a file per day and bucket; the batches it replaced.
 
+    The shares of these batches in the store's ``summaries`` become one too.
+
     Readers see the old batches until the new one is committed, and the new
     one from then on. The old files stay for readers that began before;
     ``remove_replaced`` deletes them.
@@ -183,6 +189,10 @@ def compact(spark: SparkSession, path: str, batch: str) -> list[str]:
     # read as plain files: a bucketed scan would stand in for the repartition of the write, and then be read unbucketed
     rows = spark.read.schema(_SCHEMA).parquet(path).where(F.col(BATCH).isin(old))
     write_rows(rows, path, batch)
+    if summaries:
+        from firelog.sources.summaries import merge_shares
+
+        merge_shares(spark, path, summaries, batch, old)
     commit(spark, path, batch, {}, old)
     return old
 

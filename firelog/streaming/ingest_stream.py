@@ -46,12 +46,13 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
                         max_files_per_trigger: int | None = None,
                         classify_all: bool = True,
                         kept_counters: int | None = KEPT_COUNTERS,
-                        follow: bool = False, buckets: int | None = None) -> StreamingQuery:
+                        follow: bool = False, buckets: int | None = None,
+                        summaries_path: str | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
     ``checkpoint_location`` defaults to a new folder under the session's
-    shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all`` and
-    ``buckets`` as in ``firelog.plans.batch.ingest_lines``. ``follow`` reads
+    shared checkpoint folder (``spark.checkpoint.dir``). ``classify_all``,
+    ``buckets`` and ``summaries_path`` as in ``firelog.plans.batch.ingest_lines``. ``follow`` reads
     files that grow (``max_files_per_trigger`` does not apply). The query's
     ``firelog_counters`` hold the counters of the last ``kept_counters``
     micro-batches (None: of all), its ``firelog_totals`` the sums over all
@@ -69,7 +70,8 @@ def start_ingest_stream(spark: SparkSession, source_dir: str, store_path: str,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         counts, _ = ingest_lines(batch.sparkSession, _number_lines(batch), store_path, order, rejects_path,
-                                 classify_all=classify_all, batch=f"{stream}-{batch_id:09d}", buckets=buckets)
+                                 classify_all=classify_all, batch=f"{stream}-{batch_id:09d}", buckets=buckets,
+                                 summaries_path=summaries_path)
         for name, n in counts.items():
             old = totals.get(name, 0)
             # what a batch did not count has no total

@@ -314,6 +314,14 @@ per_ip AS (SELECT log_date, source_ip, count(*) AS n FROM store GROUP BY 1, 2)""
   CASE WHEN COALESCE(g.country, '') = '' THEN 'unknown' ELSE g.country END AS country, CAST(sum(n) AS BIGINT) AS events
 FROM per_ip p LEFT JOIN geo_run g ON g.ip_address = p.source_ip GROUP BY 1, 2""")
 
+    q["attack_trend_hourly"] = q["attack_trend_stream"] = _with(run_ctes() + """,
+per_ip AS (SELECT date_trunc('hour', timestamp) AS w, source_ip, count(*) AS n FROM store GROUP BY 1, 2)""", """SELECT p.w AS window_start,
+  CASE WHEN COALESCE(g.country, '') = '' THEN 'unknown' ELSE g.country END AS country, CAST(sum(n) AS BIGINT) AS events
+FROM per_ip p LEFT JOIN geo_run g ON g.ip_address = p.source_ip
+WHERE p.w + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(timestamp)) - INTERVAL 1 DAY FROM store) GROUP BY 1, 2""")
+    q["seen_state"] = q["first_last_seen"]
+    q["frequent_sources"] = _with(ingest_ctes("newest"), "SELECT source_ip, count(*) AS events FROM store GROUP BY 1 HAVING count(*) * 300 > (SELECT count(*) FROM store)")
+
 
 def build_all() -> dict[str, str]:
     q = build()
