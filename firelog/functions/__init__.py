@@ -9,7 +9,6 @@ from firelog.functions.extract import (
 )
 from firelog.functions.timestamps import normalise_timestamp, timestamp_text
 from firelog.functions.sizes import size_pretty
-from firelog.functions.geojson import decode_geo_answer
 
 __all__ = [
     "extract_fields",
@@ -20,5 +19,4 @@ __all__ = [
     "normalise_timestamp",
     "timestamp_text",
     "size_pretty",
-    "decode_geo_answer",
 ]

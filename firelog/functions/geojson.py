@@ -43,8 +43,8 @@ def _kind(sub: Column) -> Column:
 
 
 def parse_body(body: Column) -> Column:
-    """The body as VARIANT (NULL if it is not JSON). Parse once, then pass
-    the column to :func:`decode_geo_answer`."""
+    """The body as VARIANT (NULL if it is not JSON). Parse once and
+    take the fields from the column."""
     return F.try_parse_json(body)
 
 
@@ -112,18 +112,3 @@ def answer_values(fields: dict[str, Column], kinds: dict[str, Column]) -> dict[s
         out[name] = F.when(is_num, F.try_variant_get(fields[name], "$", "double")).otherwise(F.lit(0.0))
     return out
 
-
-def decode_geo_answer(status_code: Column, v: Column) -> Column:
-    """Struct ``(country, region, city, isp, latitude, longitude, geo_error)``.
-
-    Single-expression form; ``firelog.operators.geo.decode_answers`` computes
-    the same in stages (parse, kinds, error, values) so that each part is
-    evaluated once per answer. On error the attributes are NULL.
-    """
-    fields = answer_fields(v)
-    kinds = answer_kinds(v, fields)
-    error = answer_error(status_code, v, kinds)
-    values = answer_values(fields, kinds)
-    ok = error.isNull()
-    fields = [F.when(ok, values[n]).alias(n) for n in (*TEXT_KEYS, *NUMBER_KEYS)]
-    return F.struct(*fields, error.alias("geo_error"))

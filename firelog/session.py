@@ -18,25 +18,6 @@ REQUIRED_CONF = {
 }
 
 
-def cluster_conf(total_cores: int) -> dict[str, str]:
-    """Settings for a large cluster (pass to the session builder or spark-submit).
-
-    Shuffle partitions start high (3x cores) and adaptive execution coalesces
-    them to ~128 MB; scan splits stay at 128 MB; a partition above 256 MB and
-    5x the median is split by the skew-join rule; a join side measured below
-    64 MB after its shuffle is broadcast.
-    """
-    return {
-        **REQUIRED_CONF,
-        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
-        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    }
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library needs to an existing session."""
     for k, v in REQUIRED_CONF.items():

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def _ipv4(n: str) -> str:
     return (
-        "concat('10.', CAST(CAST(floor({n} / 65536) AS BIGINT) % 256 AS {{STR}}), '.', "
+        "concat(CAST(10 + CAST(floor({n} / 16777216) AS BIGINT) % 246 AS {{STR}}), '.', CAST(CAST(floor({n} / 65536) AS BIGINT) % 256 AS {{STR}}), '.', "
         "CAST(CAST(floor({n} / 256) AS BIGINT) % 256 AS {{STR}}), '.', CAST({n} % 256 AS {{STR}}))"
     ).format(n=n)
 
@@ -135,12 +135,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _dealt(table: DataFrame, key: str) -> DataFrame:
+    """A table that may be one row group, dealt out to as many tasks as a shuffle has."""
+    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(line_no BIGINT, line STRING)``: one syslog line per event (+ copies)."""
     from firelog.operators.fence import fence
-    from firelog.operators.layout import ensure_parallelism
 
-    events = ensure_parallelism(read_table(spark, sf_dir, "events"), "event_id")
+    events = _dealt(read_table(spark, sf_dir, "events"), "event_id")
     # Fenced: the generated line is a column like a scanned one, so later
     # filters test it instead of re-building it.
     return fence(spark_sql(spark, LOG_LINES_SQL, events=events))
@@ -148,9 +152,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ip, k, status_code, body)``: one provider answer per customer."""
-    from firelog.operators.layout import ensure_parallelism
-
-    customer = ensure_parallelism(read_table(spark, sf_dir, "customer"), "c_custkey")
+    customer = _dealt(read_table(spark, sf_dir, "customer"), "c_custkey")
     nation = read_table(spark, sf_dir, "nation")
     return spark_sql(spark, GEO_ANSWERS_SQL, customer=customer, nation=nation)
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from firelog import schemas as S
 from firelog.operators import ingest as I
 
-BASE = ("{ts} SRC=192.0.2.1 DST={dst} PROTO=TCP SPT={spt} DPT=80 action=DROP reason=PORTSCAN "
-        "LEN=500 TTL={ttl}")
+BASE = ("{ts} SRC=203.0.113.40 DST={dst} PROTO=TCP SPT={spt} DPT=8443 action=DROP reason=PORTSCAN "
+        "LEN=212 TTL={ttl}")
 
 
-def line(ts="2025-01-05T00:01:08Z", dst="192.0.2.2", spt="12345", ttl="64"):
+def line(ts="2023-07-19T16:42:37Z", dst="198.51.100.77", spt="40112", ttl="57"):
     return BASE.format(ts=ts, dst=dst, spt=spt, ttl=ttl)
 
 
@@ -24,15 +24,15 @@ def test_valid_insert(spark):
     rows = out["new_rows"].collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r["timestamp"] == dt.datetime(2025, 1, 5, 0, 1, 8)
-    assert (r["source_port"], r["destination_port"], r["ttl"]) == (12345, 80, 64)
-    assert r[S.LOG_PARTITION] == dt.date(2025, 1, 5)
+    assert r["timestamp"] == dt.datetime(2023, 7, 19, 16, 42, 37)
+    assert (r["source_port"], r["destination_port"], r["ttl"]) == (40112, 8443, 57)
+    assert r[S.LOG_PARTITION] == dt.date(2023, 7, 19)
 
 
 def test_to_store_rows_rejects_unknown_destination(spark):
     entries = spark.createDataFrame(
-        [(1, "x", "2025-01-05T00:01:08Z", "192.0.2.1", "unknown", 1, 2, "TCP", "DROP", "PORTSCAN", 3, 4),
-         (2, "y", "unknown", "192.0.2.1", "192.0.2.2", 1, 2, "TCP", "DROP", "PORTSCAN", 3, 4)],
+        [(1, "x", "2023-07-19T16:42:37Z", "203.0.113.40", "unknown", 1, 2, "TCP", "DROP", "PORTSCAN", 3, 4),
+         (2, "y", "unknown", "203.0.113.40", "198.51.100.77", 1, 2, "TCP", "DROP", "PORTSCAN", 3, 4)],
         "line_no long, line string, timestamp string, source_ip string, destination_ip string, "
         "source_port long, destination_port long, protocol string, action string, reason string, "
         "packet_length long, ttl long")
@@ -55,8 +55,8 @@ def test_rejects(spark):
 
 def test_duplicate_winner_depends_on_order(spark):
     # equal wall clock, other offset -> same key; TTL tells which line won
-    df = lines_df(spark, [line(ts="2025-01-05T00:01:08-05:00", ttl="1"),
-                          line(ts="2025-01-05T00:01:08+01:00", ttl="2")])
+    df = lines_df(spark, [line(ts="2023-07-19T16:42:37-05:00", ttl="1"),
+                          line(ts="2023-07-19T16:42:37+01:00", ttl="2")])
     newest = I.ingest(df, order="newest")["new_rows"].collect()
     oldest = I.ingest(df, order="oldest")["new_rows"].collect()
     assert [r.ttl for r in newest] == [2]

@@ -55,3 +55,20 @@ def test_long_line_is_kept_by_default_and_nothing_is_shuffled(spark, tmp_path):
     df = read_log_lines(spark, str(tmp_path / "log.txt"))
     assert df.count() == 2
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_statistics_are_those_of_the_file_system(spark):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from __spark_entry__ import TABLES, _source_tables
+    from firelog.operators.stats import database_size, table_stats
+
+    folder = "/root/testdata/sf0.001"
+    stats = table_stats(spark, _source_tables(folder))
+    got = {r["name"]: (r["row_count"], r["size_bytes"]) for r in stats.collect()}
+    files = {t: glob.glob(f"{folder}/{t}.parquet/*.parquet") or [f"{folder}/{t}.parquet"] for t in TABLES}
+    assert got == {t: (sum(pq.read_metadata(f).num_rows for f in fs), sum(map(os.path.getsize, fs))) for t, fs in files.items()}
+    assert database_size(stats).first()["size_bytes"] == sum(b for _, b in got.values())
