@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firelog.llm.common import alpha_table, code_points, map_slices, mix
+from firelog.llm.common import alpha_table, by_slices, code_points, map_slices, mix, small_batches
 
 DIM = 512
 UNKNOWN = "und"
@@ -175,14 +175,17 @@ def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: fl
     that have at least ``MIN_TRIGRAMS`` effective trigrams: the score of a
     shorter text says nothing against it.
     """
-    place = docs.columns.index(text_col)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(place).to_pylist()
+    def known(texts: pa.Array) -> pa.Array:
+        texts = texts.to_pylist()
         lang, score = predict(texts, prototypes)
         ok = np.array([k != UNKNOWN for k in lang], bool)
         low = np.flatnonzero(ok & (score < min_score))
         ok[low] = evidence([texts[i] for i in low]) < MIN_TRIGRAMS
-        return batch.filter(pa.array(ok, pa.bool_()))
+        return pa.array(ok, pa.bool_())
+
+    @F.arrow_udf("boolean")
+    def is_known(texts: pa.Array) -> pa.Array:
+        return by_slices(texts, known, pa.bool_(), SLICE)
 
-    return map_slices(docs, place, run, docs.schema, max_bytes=SLICE)
+    small_batches(docs.sparkSession)
+    return docs.where(is_known(docs[text_col]))

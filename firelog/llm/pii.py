@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firelog.llm.common import code_points, map_slices, runs
+from firelog.llm.common import by_slices, code_points, map_slices, runs, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 # Bounds of the training sample: texts read and windows used.
@@ -457,21 +457,19 @@ def detect(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text
 
 def mask(docs: DataFrame, model, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs``, all columns, with spans masked in the text and the length column (if any) set anew; null texts stay."""
-    names = docs.columns
-    at = names.index(text_col)
-    size = names.index(length_col) if length_col in names else None
-    schema = docs.schema
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(at).to_pylist()
+    def mask_texts(texts: pa.Array) -> pa.Array:
+        texts = texts.to_pylist()
         _, every = find(model, [t or "" for t in texts])
-        new = [None if t is None else masked(t, s) for t, s in zip(texts, every, strict=True)]
-        cols = list(batch.columns)
-        cols[at] = pa.array(new, batch.schema.field(at).type)
-        if size is not None:
-            old = batch.column(size).to_pylist()
-            cols[size] = pa.array([o if t is None else len(t) for o, t in zip(old, new, strict=True)],
-                                  batch.schema.field(size).type)
-        return pa.RecordBatch.from_arrays(cols, schema=batch.schema)
-
-    return map_slices(docs, at, run, schema)
+        return pa.array([None if t is None else masked(t, s) for t, s in zip(texts, every, strict=True)], pa.string())
+
+    @F.arrow_udf("string")
+    def new_text(texts: pa.Array) -> pa.Array:
+        return by_slices(texts, mask_texts, pa.string())
+
+    small_batches(docs.sparkSession)
+    # only the text goes to Python; the other columns stay where they are
+    out = docs.withColumn(text_col, new_text(docs[text_col]))
+    if length_col in docs.columns:
+        size = F.when(F.col(f"`{text_col}`").isNull(), F.col(f"`{length_col}`")).otherwise(F.length(f"`{text_col}`"))
+        out = out.withColumn(length_col, size.cast(docs.schema[length_col].dataType))
+    return out
