@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firelog.llm.common import by_slices, code_points, map_slices, runs, small_batches
+from firelog.llm.common import SLICE_BYTES, by_slices, code_points, map_slices, runs, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 # Bounds of the training sample: texts read and windows used.
@@ -349,7 +349,17 @@ def train_on(texts: list[str]) -> dict[str, np.ndarray] | None:
         if moved:
             all_texts.append("".join(out) + t[at:])
             all_spans.append(moved)
-    x, owner, start = windows(all_texts)
+    # a slice of the sample at a time: the arrays take many bytes a character
+    parts, at = [], 0
+    while at < len(all_texts):
+        upto, size = at, 0
+        while upto < len(all_texts) and (upto == at or size + len(all_texts[upto]) <= SLICE_BYTES):
+            size += len(all_texts[upto])
+            upto += 1
+        x, owner, start = windows(all_texts[at:upto])
+        parts.append((x, owner + at, start))
+        at = upto
+    x, owner, start = (np.concatenate(p) for p in zip(*parts, strict=True)) if parts else windows([])
     pick = np.random.default_rng(3).permutation(len(x))[:MAX_WINDOWS]
     return train_model(x[pick], tags_of(all_texts, all_spans, owner[pick], start[pick]))
 
