@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,6 +44,13 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Free memory goes back to the system, so that idle Python workers do not hold what a task needed."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def sliced(batch: pa.RecordBatch, column: int | str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of about ``max_bytes`` of text each (one row at least)."""
     if not batch.num_rows:
@@ -66,6 +74,7 @@ def map_slices(df: DataFrame, column: int | str, fn: Callable[[pa.RecordBatch],
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
+        release_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -12,19 +12,23 @@ link only if they share ``need(n, m)`` shingles.
   share a shingle among their first ``n - ceil(0.8 n) + 1``. Frequent
   shingles (lines and passages of many texts) so stay out of the lists of
   texts that have anything else to show. The order speeds the join up; the
-  result does not depend on it.
+  result does not depend on it. An entry keeps its place in the set's order:
+  sets whose first common shingle stands at places i and j share
+  ``min(n - i, m - j)`` shingles at most, so a pair meets in a list only if
+  that is as many as it needs, and entries that no member of the list is
+  small enough for leave it.
 * The boundary is the largest size whose subsets cost no more rows than its
   list entries and their checks (``light_boundary``).
 
 A list is never expanded into pairs. Its members are checked against one
-leader; whoever links joins the leader's component, and only lists that
+leader, the one in whose set the shingle comes earliest; whoever links joins the leader's component, and only lists that
 still hold several components go on: small ones pair the members of different
 components, large ones take further leaders, until every pair of members is
 either checked or inside one component. A check first compares the parity
 sketches of two sets (their difference is at least the number of differing
 bits, so what it rejects cannot link) and then intersects the whole sets.
 Lists of frequent shingles are split by a salt, and joined again by their
-shingle in the later rounds.
+shingle in the later rounds; an entry of such a list carries its shingle.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, runs, sliced, small_batches, stored, unused
+from firelog.llm.common import RangeHash, code_points, list_array, map_slices, mix, release_memory, runs, sliced, small_batches, stored, unused
 
 WIDTH = 5
 # Similarity 0.8 as a fraction.
@@ -57,8 +61,6 @@ SMALL_LIST = 48
 LEADERS = 16
 # Least number of cells of a parity sketch; larger sets have the next power of two of their size.
 CELLS = 512
-# Bits of the filter that tells which texts are read again for a check.
-FILTER_BITS = 1 << 23
 _NO_ID = -(1 << 63)
 
 
@@ -169,9 +171,11 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.nd
 
 
 def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary: int) -> DataFrame:
-    """``(doc_id, n, cid, sketch, keys)``: class, set size, and the class's sketch and its list and subset keys (once per task, else null).
+    """``(doc_id, n, cid, sketch, keys, salted)``: class, set size, and the class's sketch and keys (once per task, else null).
 
-    Columns of ``docs`` (doc_id, text, ...) after the text, all long, follow.
+    ``keys`` are its list keys by their place in the set's order, then its
+    subset keys; ``salted``, where a list is split, the shingles of those
+    keys that have a salt (null at the others). Columns of ``docs`` (doc_id, text, ...) after the text, all long, follow.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MAX_FREQUENT entries
 
@@ -183,23 +187,25 @@ def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bounda
         for whole in batches:
             for batch in sliced(whole, 1):
                 sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()])
-                cids, keys, sketches = [], [], []
+                cids, keys, sketches, shingles = [], [], [], []
                 for s in sets:
                     n = len(s)
                     if not n:
                         cids.append(None)
                         keys.append(None)
                         sketches.append(None)
+                        shingles.append(None)
                         continue
                     c = class_id(s)
                     cids.append(c)
                     if c in seen:
                         keys.append(None)
                         sketches.append(None)
+                        shingles.append(None)
                         continue
                     seen.add(c)
                     sketches.append(parity_sketch(s))
-                    own = subset_keys(s, boundary) if partner_sizes(n)[0] <= boundary else []
+                    own, of = subset_keys(s, boundary) if partner_sizes(n)[0] <= boundary else [], None
                     if n > boundary:
                         if len(often):
                             at = np.minimum(np.searchsorted(often, s), len(often) - 1)
@@ -209,15 +215,20 @@ def _sets_table(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bounda
                         pick = np.lexsort((s, w))[:prefix_length(n)]
                         salts = -(-w[pick] // SALT_ROWS)
                         salt = np.where(salts > 1, np.int64(c & 0x7FFFFFFF) % np.maximum(salts, 1) + 1, 0)
-                        own = own + salted(s[pick], salt).view(np.int64).tolist()
+                        own = salted(s[pick], salt).view(np.int64).tolist() + own
+                        if salt.any():
+                            of = [t if k else None for t, k in zip(s[pick].view(np.int64).tolist(), salt.tolist(), strict=True)]
                     keys.append(own)
+                    shingles.append(of)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()),
-                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())), *batch.columns[2:]],
-                    names=["doc_id", "n", "cid", "sketch", "keys", *more])
+                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
+                     pa.array(shingles, pa.list_(pa.int64())), *batch.columns[2:]],
+                    names=["doc_id", "n", "cid", "sketch", "keys", "salted", *more])
+            release_memory()
 
     small_batches(docs.sparkSession)
-    schema = ", ".join(["doc_id long, n long, cid long, sketch array<long>, keys array<long>", *(f"{c} long" for c in more)])
+    schema = ", ".join(["doc_id long, n long, cid long, sketch array<long>, keys array<long>, salted array<long>", *(f"{c} long" for c in more)])
     return stored(docs.mapInArrow(run, schema), "jaccard-sets")
 
 
@@ -226,14 +237,14 @@ def _fits(a: str, b: str):
     return (F.col(a) * DEN >= F.col(b) * NUM) & (F.col(b) * DEN >= F.col(a) * NUM)
 
 
-def _class_filter(ids: DataFrame):
-    """Bit filter (fixed size) over hashed ids."""
-    cells = (ids.select(F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)).alias("b")).distinct()
-             .groupBy(F.floor(F.col("b") / 32).cast("int").alias("cell"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 as int)))").alias("bits")).toPandas())
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).astype(np.uint32)
-    return table
+def _may_share(n: str, place: str, m: str, other: str):
+    """Whether sets of sizes n and m, with a list's shingle at these places, can have it as their first common one and link."""
+    return F.least(F.col(n) - F.col(place), F.col(m) - F.col(other)) * (NUM + DEN) >= (F.col(n) + F.col(m)) * NUM
+
+
+def _has_partner(least: str):
+    """Whether an entry (n, place) of a list whose smallest set has size ``least`` can meet any member in it."""
+    return (F.col("n") - F.col("place")) * (NUM + DEN) >= (F.col("n") + F.greatest(F.col(least), F.ceil(F.col("n") * NUM / DEN))) * NUM
 
 
 def _near_sketches(sa: str, na: str, sb: str, nb: str):
@@ -259,23 +270,18 @@ class _Checker:
 
     def links(self, pairs: DataFrame) -> DataFrame | None:
         """The linked ones of ``pairs`` (a, b); some may be repeated."""
-        spark = pairs.sparkSession
         pairs = stored(self.possible(pairs), "jaccard-possible")
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(self.classes, "cid").select("rep"), "jaccard-ids")
-        if ids.limit(1).count() == 0:
+        if pairs.limit(1).count() == 0:
             return None
-        shared = spark.sparkContext.broadcast(_class_filter(ids))
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(self.classes, "cid").select("rep").distinct(),
+                     "jaccard-ids")
 
         def sets_of(batches):
             seen: set[int] = set()
             for whole in batches:
                 for batch in sliced(whole, 0):
-                    spot = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                    hit = (shared.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
-                    if not hit.any():
-                        continue
                     new = []
-                    for s in shingle_sets([t or "" for t in batch.column(0).filter(pa.array(hit.astype(bool))).to_pylist()]):
+                    for s in shingle_sets([t or "" for t in batch.column(0).to_pylist()]):
                         if len(s) and (c := class_id(s)) not in seen:
                             seen.add(c)
                             new.append((c, s))
@@ -283,10 +289,11 @@ class _Checker:
                     flat = np.concatenate([s for _, s in new]).view(np.int64) if new else np.zeros(0, np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([c for c, _ in new], pa.int64()), list_array(flat, lengths, pa.int64())], names=["cid", "tokens"])
+            release_memory()
 
-        spotted = self.docs.select("text", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(_NO_ID))), F.lit(FILTER_BITS)).alias("spot"))
-        small_batches(spark)
-        sets = spotted.mapInArrow(sets_of, "cid long, tokens array<long>")
+        named = self.docs.select("text", F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"))
+        small_batches(pairs.sparkSession)
+        sets = named.join(ids, "rep", "left_semi").select("text").mapInArrow(sets_of, "cid long, tokens array<long>")
         # both sides read one shuffle of the sets
         both = (pairs.join(sets.alias("y"), F.col("b") == F.col("y.cid")).select("a", "b", F.col("y.tokens").alias("tb"))
                 .join(sets.alias("x"), F.col("a") == F.col("x.cid")))
@@ -330,46 +337,46 @@ def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = stored(table.where("cid is not null").groupBy("cid").agg(
         F.min("n").alias("n"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"),
         F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("rep")), "jaccard-classes")
-    spark = rows.sparkSession
-    entries = (table.where("keys is not null").select(F.explode("keys").alias("key"), "cid", "n")
+    at, prefix = F.col("at"), F.expr(f"n - ceil(n * {NUM} / {DEN}) + 1")
+    entries = (table.where("keys is not null").select(F.posexplode("keys").alias("at", "key"), "cid", "n", "salted")
+               .select("key", "cid", F.col("n").cast("int").alias("n"), F.get("salted", at).alias("shingle"),
+                       F.when((F.col("n") > boundary) & (at < prefix), at).otherwise(0).alias("place"))
                .repartition("key").dropDuplicates(["key", "cid"]))
-    # salted keys and their shingle, for the later rounds
-    often, weight = frequent
-    hot = np.flatnonzero(weight > SALT_ROWS)
-    names = [(int(k), int(often[i].view(np.int64))) for i in hot for k in
-             salted(np.repeat(often[i], -(-weight[i] // SALT_ROWS)), np.arange(1, -(-weight[i] // SALT_ROWS) + 1)).view(np.int64)]
-    entries = entries.join(spark.createDataFrame(names, "key long, shingle long"), "key", "left")
-    # lists with the same members have the same name and are kept once; a shingle's salted lists share its name
+    # lists with the same members have the same name and are kept once, at their first shingle's places; a shingle's salted lists share its name
     in_list = Window.partitionBy("key")
-    lists = stored(entries.withColumn("k", F.count(F.lit(1)).over(in_list)).withColumn("lead", F.min(F.struct("n", "cid")).over(in_list))
+    lists = stored(entries.withColumn("k", F.count(F.lit(1)).over(in_list)).withColumn("least", F.min("n").over(in_list))
+                   .withColumn("lead", F.min(F.struct("place", "n", "cid")).over(in_list))
                    .withColumn("name", F.coalesce("shingle", F.bit_xor(F.xxhash64("cid")).over(in_list)))
-                   .where("k > 1 or shingle is not null")
-                   .select("name", "cid", "n", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n")), "jaccard-lists")
+                   .where(F.col("shingle").isNotNull() | ((F.col("k") > 1) & _has_partner("least")))
+                   .select("name", "cid", "n", "place", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("lead_n"),
+                           F.col("lead.place").alias("lead_place")), "jaccard-lists")
     sketches = table.where("sketch is not null").select("cid", "n", "sketch").dropDuplicates(["cid"])
     checker = _Checker(rows, classes, stored(sketches, "jaccard-sketches"))
     order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    tested = stored(lists.where((F.col("cid") != F.col("lead")) & _fits("n", "lead_n"))
+    tested = stored(lists.where((F.col("cid") != F.col("lead")) & _fits("n", "lead_n") & _may_share("n", "place", "lead_n", "lead_place"))
                     .select(F.col("lead").alias("a"), F.col("cid").alias("b")).select(*order).distinct(), "jaccard-pairs")
     links = checker.links(tested)
     labels = None if links is None else components(links)
     sketch = checker.sketches.select("cid", "sketch")
-    open_ = lists.select(F.col("name").alias("key"), "cid", "n").distinct()
+    open_ = lists.groupBy(F.col("name").alias("key"), "cid", "n").agg(F.min("place").alias("place"))
     leaders = LEADERS
     while True:
         named = _labelled(open_, labels)
-        several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
-        open_ = stored(named.join(several.select("key", "k"), "key"), "jaccard-open")
+        several = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"),
+                                            F.min("n").alias("least")).where("lo <> hi"))
+        open_ = stored(named.join(several.select("key", "k", "least"), "key").where(_has_partner("least")).drop("least"), "jaccard-open")
         if open_.limit(1).count() == 0:
             break
-        ranked = open_.join(sketch, "cid").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("n", "cid")))
-        first = ranked.where((F.col("k") <= SMALL_LIST) | (F.col("place") <= leaders)).select(
-            "key", F.col("cid").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("place").alias("pa"),
-            F.col("sketch").alias("sa"))
-        pairs = (ranked.join(first, "key").where((F.col("place") > F.col("pa")) & (F.col("label") != F.col("la")) & _fits("n", "na"))
+        ranked = open_.join(sketch, "cid").withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy("place", "n", "cid")))
+        first = ranked.where((F.col("k") <= SMALL_LIST) | (F.col("turn") <= leaders)).select(
+            "key", F.col("cid").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("turn").alias("ta"),
+            F.col("place").alias("pa"), F.col("sketch").alias("sa"))
+        pairs = (ranked.join(first, "key").where((F.col("turn") > F.col("ta")) & (F.col("label") != F.col("la")) & _fits("n", "na")
+                        & _may_share("n", "place", "na", "pa"))
                  .where(_near_sketches("sa", "na", "sketch", "n"))
                  .select(F.col("a_").alias("a"), F.col("cid").alias("b")).select(*order).distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "jaccard-pairs")
-        open_ = stored(ranked.where((F.col("k") > SMALL_LIST) & (F.col("place") > leaders)).select("key", "cid", "n"), "jaccard-open")
+        open_ = stored(ranked.where((F.col("k") > SMALL_LIST) & (F.col("turn") > leaders)).select("key", "cid", "n", "place"), "jaccard-open")
         leaders *= 2
         if pairs.limit(1).count() == 0:
             continue
