@@ -82,7 +82,9 @@ def map_slices(df: DataFrame, column: int | str, fn: Callable[[pa.RecordBatch],
 def by_slices(texts: pa.Array, fn: Callable[[pa.Array], pa.Array], kind: pa.DataType, max_bytes: int = SLICE_BYTES) -> pa.Array:
     """``fn`` over byte-balanced slices of a text column, for Arrow functions that see the texts only."""
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-    return pa.concat_arrays([pa.array([], kind), *(fn(part.column(0)) for part in sliced(batch, 0, max_bytes))])
+    out = pa.concat_arrays([pa.array([], kind), *(fn(part.column(0)) for part in sliced(batch, 0, max_bytes))])
+    release_memory()
+    return out
 
 
 def code_points(texts: list[str], sep: str = "\n") -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -377,12 +377,12 @@ def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                  .select(F.col("a_").alias("a"), F.col("cid").alias("b")).select(*order).distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "jaccard-pairs")
         open_ = stored(ranked.where((F.col("k") > SMALL_LIST) & (F.col("turn") > leaders)).select("key", "cid", "n", "place"), "jaccard-open")
-        leaders *= 2
+        leaders *= 4
         if pairs.limit(1).count() == 0:
             continue
         tested = tested.unionByName(pairs)
         more = checker.links(pairs)
-        if more is not None:
+        if more is not None and more.limit(1).count():
             links = more if links is None else links.unionByName(more)
             labels = components(links)
     return table, _labelled(classes, labels)

@@ -196,7 +196,8 @@ def mixed_rows(docs: DataFrame, seed: int = 11, shards: int = SHARDS, id_col: st
     d = _decided(keyed, plan(keyed, seed, shards), seed, "doc_id", "text", "source")
     one = d.select("row", "__mix", F.posexplode("__shards").alias("__pass", "__shard"))
     # a shard's rows are spread over several tasks by their hash, so that none grows with the corpus
-    parts = F.pmod(_hash(seed + 3, "__mix.place", "__pass"), F.lit(64))
+    spread = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = F.pmod(_hash(seed + 3, "__mix.place", "__pass"), F.lit(spread))
     return (one.repartition("__shard", parts)
             .sortWithinPartitions("__shard", _hash(seed + 4, "__mix.place", "__pass"), "__mix.place")
             .select("row.*"))
