@@ -357,7 +357,6 @@ def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                     .select(F.col("lead").alias("a"), F.col("cid").alias("b")).select(*order).distinct(), "jaccard-pairs")
     links = checker.links(tested)
     labels = None if links is None else components(links)
-    sketch = checker.sketches.select("cid", "sketch")
     open_ = lists.groupBy(F.col("name").alias("key"), "cid", "n").agg(F.min("place").alias("place"))
     leaders = LEADERS
     while True:
@@ -367,13 +366,12 @@ def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         open_ = stored(named.join(several.select("key", "k", "least"), "key").where(_has_partner("least")).drop("least"), "jaccard-open")
         if open_.limit(1).count() == 0:
             break
-        ranked = open_.join(sketch, "cid").withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy("place", "n", "cid")))
+        ranked = open_.withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy("place", "n", "cid")))
         first = ranked.where((F.col("k") <= SMALL_LIST) | (F.col("turn") <= leaders)).select(
             "key", F.col("cid").alias("a_"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("turn").alias("ta"),
-            F.col("place").alias("pa"), F.col("sketch").alias("sa"))
+            F.col("place").alias("pa"))
         pairs = (ranked.join(first, "key").where((F.col("turn") > F.col("ta")) & (F.col("label") != F.col("la")) & _fits("n", "na")
                         & _may_share("n", "place", "na", "pa"))
-                 .where(_near_sketches("sa", "na", "sketch", "n"))
                  .select(F.col("a_").alias("a"), F.col("cid").alias("b")).select(*order).distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "jaccard-pairs")
         open_ = stored(ranked.where((F.col("k") > SMALL_LIST) & (F.col("turn") > leaders)).select("key", "cid", "n", "place"), "jaccard-open")
