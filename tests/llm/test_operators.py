@@ -331,6 +331,27 @@ def test_jaccard_components_against_brute_force(spark, docs, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def test_jaccard_of_many_edits_with_split_lists(spark, monkeypatch):
+    """Many different edits of one text: salted lists, several leader rounds and places, against brute force."""
+    for name, value in (("SALT_ROWS", 20), ("FREQUENT", 2), ("SMALL_LIST", 4), ("LEADERS", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng, base, texts = random.Random(21), [f"b{i}" for i in range(120)], []
+    for i in range(150):
+        w = list(base[:rng.choice([100, 110, 120])])
+        for _ in range(rng.randrange(1, 9)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(60)}"
+        texts.append(" ".join(w))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(sets)))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    assert 1 < len(set(label)) < len(sets)
+    got = by_id(jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)))
+    assert [got[i]["component_id"] for i in range(len(texts))] == label
+
+
 def test_shingles_of_the_smallest_slices(spark):
     for text in ["", "a", "a b", "a b c", "a b c d", "a b c d e", "a b c d e f"]:
         n = len(text.split())
