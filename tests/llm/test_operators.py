@@ -352,6 +352,36 @@ def test_jaccard_of_many_edits_with_split_lists(spark, monkeypatch):
     assert [got[i]["component_id"] for i in range(len(texts))] == label
 
 
+def test_jaccard_pairs_versions_of_a_text_once(spark, monkeypatch):
+    """Versions of one text, most too different to link, share many lists; each pair is made in about one of them."""
+    rng, base, texts = random.Random(3), [f"b{i}" for i in range(300)], []
+    for i in range(40):
+        w = list(base)
+        for p in rng.sample(range(300), 8 if i % 10 else 2):
+            w[p] = f"e{i}x{p}"
+        texts.append(" ".join(w))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(sets)))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    data, made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []
+    plain = type(data).distinct
+
+    def counted(self):
+        if self.columns == ["a", "b"]:
+            made.append((self.count(), plain(self).count()))
+        return plain(self)
+
+    monkeypatch.setattr(jaccard, "FREQUENT", 1000)  # as if the versions were spread over many slices
+    monkeypatch.setattr(type(data), "distinct", counted)
+    got = by_id(jaccard.join(data))
+    assert [got[i]["component_id"] for i in range(len(texts))] == label and 1 < len(set(label)) < len(texts)
+    rows, pairs = map(sum, zip(*made[1:], strict=True))  # after the leaders' pairs
+    assert 300 < pairs and rows <= 1.5 * pairs
+
+
 def test_shingles_of_the_smallest_slices(spark):
     for text in ["", "a", "a b", "a b c", "a b c d", "a b c d e", "a b c d e f"]:
         n = len(text.split())
